@@ -268,45 +268,6 @@ class Searcher:
         return hot_split_join(postings, known, "term", "left", "doc_id", hot)
 
 
-def _idf_columns(self, frequencies: DataFrame) -> DataFrame:
-        return frequencies.select(
-            "term",
-            F.coalesce("df", F.lit(0)).cast("bigint").alias("df"),
-            idf_classic(self._n, "df").alias("idf_classic"),
-            idf_smooth(self._n, "df").alias("idf_smooth"),
-        )
-
-    def weights(self, pairs: DataFrame | None = None) -> DataFrame:
-        """TF and both TF-IDF weights of every posting, or of the given ``term, doc_id`` pairs (0 where the
-        document lacks the term or is unknown)."""
-        postings = self.index.postings.select("term", "doc_id", "tf", "doc_len")
-        if pairs is not None:
-            postings = pairs.select("term", "doc_id").join(postings, ["term", "doc_id"], "left")
-        return self._with_frequency(postings).select(
-            "term",
-            "doc_id",
-            term_frequency("tf", "doc_len").alias("tf"),
-            (term_frequency("tf", "doc_len") * idf_classic(self._n, "df")).alias("tfidf_classic"),
-            (term_frequency("tf", "doc_len") * idf_smooth(self._n, "df")).alias("tfidf_smooth"),
-        )
-
-    def weights_by(self, method: str, pairs: DataFrame | None = None) -> DataFrame:
-        """TF-IDF by method name; any name but ``"smooth"`` means classic."""
-        chosen = "tfidf_smooth" if method == "smooth" else "tfidf_classic"
-        return self.weights(pairs).select("term", "doc_id", F.col(chosen).alias("tfidf"))
-
-    def _with_frequency(self, postings: DataFrame) -> DataFrame:
-        """Add ``df``. Hot terms, known from the frequencies themselves, are split by document."""
-        known = self.index.term_df.select("term", "df")
-        total = known.agg(F.sum("df")).first()[0] or 0
-        hot = [r.term for r in known.where(F.col("df") > max(total // HOT_SHARE, 1_000)).collect()]
-        is_hot = F.col("term").isin(hot) if hot else F.lit(False)
-        spread = F.when(is_hot, F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(F.lit(0)).cast("bigint")
-        copies = F.when(is_hot, F.lit(SALTS - 1)).otherwise(F.lit(0)).cast("bigint")
-        repeated = known.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), copies)))
-        return postings.withColumn("_salt", spread).join(repeated, ["term", "_salt"], "left").drop("_salt")
-
-
 def _given_small(queries) -> bool:
     """True for query strings handed over by the caller that are short enough to need no measuring job."""
     if isinstance(queries, DataFrame):

@@ -1,0 +1 @@
+"""Registered queries over the given tables, each with the SQL that must give the same rows where SQL can."""

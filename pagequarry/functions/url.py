@@ -87,8 +87,10 @@ def _join(scheme: Column, host: Column, path: Column, params: Column, query: Col
 def with_absolute_url(df: DataFrame, base: str, link: str, out: str = "abs_url") -> DataFrame:
     """Add ``out``: the link resolved against the page URL, cut at the first ``#``.
 
-    The parts are separate columns on purpose. Each is read several times, so Catalyst keeps them as one
-    projection below the final one instead of repeating the patterns in every branch.
+    The parts are separate columns on purpose: each is read several times, so Catalyst keeps them as a
+    projection of their own instead of repeating the patterns in every branch. The result passes through a
+    one-element ``explode`` for the same reason: a filter on it is then applied to the finished URL, where a
+    plain column would let the filter be pushed down with the whole expression written out again.
     """
     b, r = _clean(F.col(base)), _clean(F.col(link))
     raw = df.withColumns(
@@ -126,6 +128,4 @@ def with_absolute_url(df: DataFrame, base: str, link: str, out: str = "abs_url")
         .when((lp == "") & (lpp == ""), _join(bs, bn, bp, bpp, query))
         .otherwise(_join(bs, bn, F.when(path == "", F.lit("/")).otherwise(path), lpp, lq))
     )
-    return parts.withColumn(out, resolved).drop(
-        "_bs", "_bn", "_bp", "_bpp", "_bq", "_ls", "_ln", "_lp", "_lpp", "_lq"
-    )
+    return parts.select(*df.columns, F.explode(F.array(resolved)).alias(out))

@@ -72,9 +72,9 @@ def flag_disallowed(df: DataFrame, rules: DataFrame, url: str, out: str = "disal
         .groupBy(F.col("host").alias("_host"))
         .agg(F.collect_set("value").alias("_prefixes"))
     )
-    hosted = lookup_join(df.withColumn("_host", netloc(url)), per_host, "_host", "left", spread_by=url)
-    path = url_path(url)
-    known = hosted.withColumns({"_path": path, "_everywhere": everywhere})
+    # host and path are settled below the join, so the test on each prefix only compares strings
+    placed = df.withColumns({"_host": netloc(url), "_path": url_path(url)})
+    known = lookup_join(placed, per_host, "_host", "left", spread_by=url).withColumn("_everywhere", everywhere)
     none = F.array().cast("array<string>")
     tested = F.concat(F.coalesce("_prefixes", none), F.coalesce("_everywhere", none))
     blocked = F.exists(tested, lambda p: F.startswith(F.col("_path"), p))

@@ -189,12 +189,12 @@ found AS (
   SELECT {TIDY.format("split_part(raw.url, '://', 1) || '://' || " + NETLOC.format("raw.url") + " || split_part(href, '#', 1)")} AS url,
          seq, pos FROM raw JOIN fetched USING (url)),
 fresh AS (
-  SELECT url, min((seq, pos)) AS at FROM found
+  SELECT url, min((seq, pos)) AS spot FROM found
   WHERE NOT {BLOCKED.format(host=NETLOC.format("url"), path=PATH.format("url"))}
     AND url NOT IN (SELECT url FROM visited) AND url NOT IN (SELECT url FROM queue) GROUP BY url),
 merged AS (
-  SELECT url, 0 AS new, (seq, 0) AS at FROM queue, cut WHERE seq > last
-  UNION ALL SELECT url, 1, at FROM fresh)"""
+  SELECT url, 0 AS new, (seq, 0) AS spot FROM queue, cut WHERE seq > last
+  UNION ALL SELECT url, 1, spot FROM fresh)"""
 TREE = """
 nodes AS (SELECT page_id AS node, split_part(url, '#', 1) || '?node=' || page_id AS url FROM pages)"""
 
@@ -212,7 +212,7 @@ SELECT page_id, pos, form, abs_url FROM forms
 WHERE NOT {BLOCKED.format(host=NETLOC.format("abs_url"), path=PATH.format("abs_url"))}""",
     "robots_rules": f"WITH {RULES} SELECT mode, host, pos, kind, value FROM rules",
     "robots_delays": f"WITH {ROBOTS} SELECT host, CASE WHEN n % 3 = 0 THEN 15 ELSE n END AS delay FROM hosts",
-    "frontier_next": f"WITH {STEP} SELECT url, row_number() OVER (ORDER BY new, at) - 1 AS seq FROM merged",
+    "frontier_next": f"WITH {STEP} SELECT url, row_number() OVER (ORDER BY new, spot) - 1 AS seq FROM merged",
     "frontier_visits": f"WITH {STEP} SELECT url, seq, status FROM taken",
     "crawl_summary": f"""
 WITH {STEP}

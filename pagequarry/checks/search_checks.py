@@ -73,7 +73,7 @@ def search_display(spark, sf_dir):
     records = extract_fields(table(spark, sf_dir, "pages").select("page_id", "url", "html"), GENERIC_RULES)
     records = records.withColumn("name", F.when(~F.col("name").contains("&"), F.col("name"))).withColumn("type", F.lit(""))
     searcher = Searcher(build_index(records, "page_id"))
-    return searcher.display(searcher.search([SHORT, "thion quenche &"], top_k=20))
+    return searcher.display(searcher.search([SHORT, "than ouier der"], top_k=20))
 
 
 QUERIES = {
@@ -90,9 +90,9 @@ QUERIES = {
 
 SCORED = f"""
 {POSTINGS},
-asked AS (SELECT query_id, t, unnest(generate_series(1, len(t))) AS at
+asked AS (SELECT query_id, t, unnest(generate_series(1, len(t))) AS spot
           FROM (SELECT query_id, {TOKENS.format("query")} AS t FROM queries)),
-q AS (SELECT query_id, at - 1 AS pos, t[at] AS term FROM asked),
+q AS (SELECT query_id, spot - 1 AS pos, t[spot] AS term FROM asked),
 w AS (SELECT query_id, doc_id, pos, tf / doc_len AS tf, {IDFS}
       FROM q JOIN postings USING (term) JOIN lens USING (doc_id) JOIN dfs USING (term), corpus),
 scored AS (
@@ -148,7 +148,7 @@ WITH records AS (
                regexp_replace(trim(regexp_extract(html, '<article><h1>([^<]*)</h1>', 1)), '<[^<]+?>', '', 'g') AS description,
                regexp_extract(html, '<html lang="([a-z]*)"', 1) AS lang FROM pages)),
 documents AS (SELECT doc_id, concat_ws(' ', name, description, lang) AS text FROM records),
-{literal(SHORT, "thion quenche &").removeprefix("WITH ")}
+{literal(SHORT, "than ouier der").removeprefix("WITH ")}
 SELECT CAST(query_id AS BIGINT) AS query_id, rank, coalesce(name, 'N/A') AS name, printf('%.4f', score) AS score,
        url, nullif(lang, '') AS country, CAST(NULL AS VARCHAR) AS type
 FROM ranked JOIN records USING (doc_id) WHERE method = 'classic' AND rank <= 20""",

@@ -7,7 +7,7 @@ from ..operators.frontier import crawl, crawl_depth, crawl_summary, next_frontie
 from ..operators.links import extract_links, resolve_links, same_site, site_links
 from ..operators.robots import crawl_delays, drop_disallowed, parse_robots
 from ..plans.ordering import number_rows
-from ..plans.storage import fresh_path
+from ..plans.storage import fresh_path, written
 from ..sources.pages import read_queue, write_queue
 from .inputs import page_links_in_forms, page_tree, robots_texts, table
 
@@ -98,7 +98,7 @@ def crawl_order(spark, sf_dir):
 def depths(spark, sf_dir):
     """Hops of every page of the page tree from its root."""
     tree = page_tree(spark, sf_dir)
-    links = site_links(tree, netloc("abs_url")).select("url", "abs_url")
+    links = written(site_links(tree, netloc("abs_url")).select("url", "abs_url"), "tree-links")
     return crawl_depth(links, tree.where(F.col("node") == 0).select("url"), 64)
 
 

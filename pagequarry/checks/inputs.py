@@ -5,7 +5,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.url import cut_fragment, netloc, url_path
+from ..functions.url import BASE_PARTS, cut_fragment, netloc, url_path, with_base_parts
 from ..operators.index import SearchIndex, build_index
 from ..operators.links import extract_links
 from ..plans.storage import shared_folder
@@ -41,8 +41,7 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_links_in_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every link of every page in eight forms: as it is, relative, from the parent folder, on another host, as a
     query, with dot segments, as a mail address and absolute with an upper-case scheme."""
-    pages = table(spark, sf_dir, "pages")
-    links = extract_links(pages)
+    links = extract_links(with_base_parts(table(spark, sf_dir, "pages"), "url"))
     bare = F.regexp_replace("href", "^/", "")
     host = netloc("url")
     forms = F.array(
@@ -55,7 +54,7 @@ def page_links_in_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("mailto:"), bare),
         F.concat(F.upper(F.split("url", ":")[0]), F.lit("://"), host, F.lit("/"), bare),
     )
-    return links.select("page_id", "url", "pos", F.posexplode(forms).alias("form", "href"))
+    return links.select("page_id", "url", "pos", *BASE_PARTS, F.posexplode(forms).alias("form", "href"))
 
 
 def robots_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,7 +50,7 @@ def cut_fragment(url) -> Column:
 
 
 def _fold_dots(segments: Column) -> Column:
-    """Apply ``.`` and ``..`` segments; climbing above the root is ignored."""
+    """Apply ``.`` and ``..`` segments and join the rest; climbing above the root is ignored."""
     folded = F.aggregate(
         segments,
         F.array().cast("array<string>"),
@@ -59,73 +59,94 @@ def _fold_dots(segments: Column) -> Column:
         .otherwise(F.concat(done, F.array(s))),
     )
     ends_in_dots = F.element_at(segments, -1).isin(".", "..")
-    return F.when(ends_in_dots, F.concat(folded, F.array(F.lit("")))).otherwise(folded)
+    return F.array_join(F.concat(folded, F.when(ends_in_dots, F.array(F.lit(""))).otherwise(F.array())), "/")
 
 
-def _merge(base_path: Column, link_path: Column) -> Column:
-    base = F.split(base_path, "/")
-    # the last base segment is a file unless it is empty
-    folder = F.when(F.element_at(base, -1) != "", F.slice(base, F.lit(1), F.size(base) - 1)).otherwise(base)
-    joined = F.concat(folder, F.split(link_path, "/"))
-    # empty segments inside a merged path vanish; the first and the last stay
-    inner = F.array_remove(F.slice(joined, F.lit(2), F.greatest(F.size(joined) - 2, F.lit(0))), "")
-    return F.concat(F.slice(joined, 1, 1), inner, F.slice(joined, -1, 1))
+def _merge(folder: Column, link_path: Column) -> Column:
+    """Segments of a relative path placed in a folder. Empty ones inside vanish; the first and the last stay."""
+    link = F.split(link_path, "/")
+    inner = F.concat(F.slice(folder, F.lit(2), F.size(folder)), F.slice(link, F.lit(1), F.size(link) - 1))
+    return F.concat(F.slice(folder, 1, 1), F.array_remove(inner, ""), F.slice(link, -1, 1))
 
 
-def _join(scheme: Column, host: Column, path: Column, params: Column, query: Column) -> Column:
-    rooted = F.when((path == "") | path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
-    return F.concat(
-        scheme,
-        F.lit("://"),
-        host,
-        rooted,
-        F.when(params != "", F.concat(F.lit(";"), params)).otherwise(""),
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
+BASE_PARTS = ("_bs", "_bn", "_bp", "_bpp", "_bq", "_folder")
+
+
+def with_base_parts(df: DataFrame, base: str) -> DataFrame:
+    """Add the parts of a page URL that resolving needs. Done before links are exploded, it is done once per page."""
+    b = _clean(F.col(base))
+    raw = df.withColumns(
+        {"_bs": F.lower(_part(b, SCHEME)), "_bn": _part(b, NETLOC), "_bq": _part(b, QUERY), "_bp": _part(b, PATH)}
+    )
+    split = raw.withColumns(
+        {"_bpp": F.regexp_extract("_bp", PARAMS_PATTERN, 1), "_bp": F.regexp_replace("_bp", PARAMS_PATTERN, "")}
+    )
+    # the last segment is a file; an empty one keeps its place in front of what follows
+    segments = F.split(F.regexp_replace("_bp", "[^/]+$", ""), "/")
+    return split.withColumn(
+        "_folder", F.when(F.size(segments) > 1, F.slice(segments, F.lit(1), F.size(segments) - 1)).otherwise(segments)
     )
 
 
 def with_absolute_url(df: DataFrame, base: str, link: str, out: str = "abs_url") -> DataFrame:
     """Add ``out``: the link resolved against the page URL, cut at the first ``#``.
 
-    The parts are separate columns on purpose: each is read several times, so Catalyst keeps them as a
-    projection of their own instead of repeating the patterns in every branch. The result passes through a
+    The parts are separate columns on purpose: each is read several times, so Catalyst keeps them as
+    projections of their own instead of repeating the patterns in every branch. The result passes through a
     one-element ``explode`` for the same reason: a filter on it is then applied to the finished URL, where a
     plain column would let the filter be pushed down with the whole expression written out again.
     """
-    b, r = _clean(F.col(base)), _clean(F.col(link))
-    raw = df.withColumns(
+    based = df if set(BASE_PARTS) <= set(df.columns) else with_base_parts(df, base)
+    kept = [c for c in df.columns if c not in BASE_PARTS]
+    r = _clean(F.col(link))
+    raw = based.withColumns(
         {
-            "_bs": F.lower(_part(b, SCHEME)),
-            "_bn": _part(b, NETLOC),
-            "_bp": _part(b, PATH),
-            "_bq": _part(b, QUERY),
             "_ls": F.lower(_part(r, SCHEME)),
             "_ln": _part(r, NETLOC),
             "_lp": _part(r, PATH),
             "_lq": _part(r, QUERY),
         }
     )
-    parts = raw.withColumns(
+    split = raw.withColumns(
+        {"_lpp": F.regexp_extract("_lp", PARAMS_PATTERN, 1), "_lp": F.regexp_replace("_lp", PARAMS_PATTERN, "")}
+    )
+    bs, bn, bp, bpp, bq, folder = (F.col(c) for c in BASE_PARTS)
+    ls, ln, lp, lpp, lq = (F.col(c) for c in ("_ls", "_ln", "_lp", "_lpp", "_lq"))
+    foreign = (base_missing := F.col(base) == "") | ~bs.isin(*WEB_SCHEMES) | ((ls != "") & (ls != bs))
+    staged = split.withColumns(
         {
-            "_bpp": F.regexp_extract("_bp", PARAMS_PATTERN, 1),
-            "_bp": F.regexp_replace("_bp", PARAMS_PATTERN, ""),
-            "_lpp": F.regexp_extract("_lp", PARAMS_PATTERN, 1),
-            "_lp": F.regexp_replace("_lp", PARAMS_PATTERN, ""),
+            # 'link': as it stands, 'host': its own path, 'page': the page's path, 'path': a path to place
+            "_kind": F.when((F.col(link) == "") & ~base_missing, "page")
+            .when(foreign, "link")
+            .when(ln != "", "host")
+            .when((lp == "") & (lpp == ""), "page")
+            .otherwise("path"),
+            "_segments": F.when(lp.startswith("/"), F.when(lp.rlike(r"/\.\.?(/|\z)"), F.split(lp, "/"))).otherwise(
+                _merge(folder, lp)
+            ),
         }
     )
-    bs, bn, bp, bpp, bq = (F.col(c) for c in ("_bs", "_bn", "_bp", "_bpp", "_bq"))
-    ls, ln, lp, lpp, lq = (F.col(c) for c in ("_ls", "_ln", "_lp", "_lpp", "_lq"))
-
-    foreign = (~bs.isin(*WEB_SCHEMES)) | ((ls != "") & (ls != bs))
-    has_dots = lp.rlike(r"(^|/)\.\.?(/|\z)")
-    from_root = F.when(has_dots, F.array_join(_fold_dots(F.split(lp, "/")), "/")).otherwise(lp)
-    path = F.when(lp.startswith("/"), from_root).otherwise(F.array_join(_fold_dots(_merge(bp, lp)), "/"))
-    query = F.when(lq != "", lq).otherwise(bq)
-    resolved = (
-        F.when(F.col(link) == "", cut_fragment(base))
-        .when((F.col(base) == "") | foreign, cut_fragment(link))
-        .when(ln != "", _join(bs, ln, lp, lpp, lq))
-        .when((lp == "") & (lpp == ""), _join(bs, bn, bp, bpp, query))
-        .otherwise(_join(bs, bn, F.when(path == "", F.lit("/")).otherwise(path), lpp, lq))
+    kind, segments = F.col("_kind"), F.col("_segments")
+    placed = F.when(segments.isNull(), lp).otherwise(_fold_dots(segments))
+    chosen = staged.withColumns(
+        {
+            "_host": F.when(kind == "host", ln).otherwise(bn),
+            "_path": F.when(kind == "page", bp).when(kind == "path", placed).otherwise(lp),
+            "_params": F.when(kind == "page", bpp).otherwise(lpp),
+            "_query": F.when((kind == "page") & (lq == ""), bq).otherwise(lq),
+        }
+    )
+    host, path, params, query = (F.col(c) for c in ("_host", "_path", "_params", "_query"))
+    # a placed path that came out empty is the root; other empty paths stay empty
+    slash = F.when(path == "", F.when(kind == "path", "/").otherwise("")).when(path.startswith("/"), "").otherwise("/")
+    joined = F.concat(
+        bs,
+        F.lit("://"),
+        host,
+        slash,
+        path,
+        F.when(params != "", F.concat(F.lit(";"), params)).otherwise(""),
+        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
     )
-    return parts.select(*df.columns, F.explode(F.array(resolved)).alias(out))
+    resolved = F.when(kind == "link", cut_fragment(link)).otherwise(joined)
+    return chosen.select(*kept, F.explode(F.array(resolved)).alias(out))

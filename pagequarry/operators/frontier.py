@@ -37,11 +37,10 @@ def queue_of(urls: DataFrame, order: list[str | Column]) -> DataFrame:
     return number_rows(first, ["_first"], "seq").select("url", "seq")
 
 
-def _attempts(queue: DataFrame, visited: DataFrame, known: DataFrame, rules: DataFrame) -> DataFrame:
+def _attempts(queue: DataFrame, visited: DataFrame, known: DataFrame) -> DataFrame:
     """Status each URL of the queue would get, already visited ones left out."""
     todo = queue.join(visited.select("url").distinct(), "url", "left_anti")
-    checked = flag_disallowed(todo, rules, "url")
-    found = checked.join(known.select("url").distinct().withColumn("_page", F.lit(True)), "url", "left")
+    found = todo.join(known.select("url").distinct().withColumn("_page", F.lit(True)), "url", "left")
     status = F.when(F.col("disallowed"), "disallowed").when(F.col("_page"), "fetched").otherwise("failed")
     return found.select("url", "seq", status.alias("status"))
 
@@ -50,19 +49,20 @@ def _step(
     queue: DataFrame,
     visited: DataFrame,
     known: DataFrame,
-    rules: DataFrame,
     budget: int,
     links_of: Callable[[DataFrame], DataFrame],
 ) -> FrontierStep:
+    """One level for ``queue(url, seq, disallowed)``."""
     # the queue's fate is read by the cut, the links and the result, so it is settled once
-    attempts = written(_attempts(queue, visited, known, rules), "attempts")
-    fetched = first_rows(attempts.where(F.col("status") == "fetched"), ["seq"], max(budget, 0))
-    n, last = fetched.agg(F.count(F.lit(1)), F.max("seq")).first()
+    attempts = written(_attempts(queue, visited, known), "attempts")
+    fetchable = attempts.where(F.col("status") == "fetched")
+    n = fetchable.count()
     if budget <= 0:
-        taken, remaining = attempts.where(F.lit(False)), queue
+        n, taken, remaining = 0, attempts.where(F.lit(False)), queue
     elif n < budget:
         taken, remaining = attempts, queue.where(F.lit(False))
     else:
+        n, last = budget, first_rows(fetchable, ["seq"], budget).agg(F.max("seq")).first()[0]
         taken, remaining = attempts.where(F.col("seq") <= last), queue.where(F.col("seq") > last)
 
     fresh = (
@@ -100,7 +100,7 @@ def next_frontier(
         html = pages.select("url", "html").join(few, "url")
         return drop_disallowed(site_links(html, site), rules, "abs_url")
 
-    return _step(frontier, visited, pages, rules, budget, links_of)
+    return _step(flag_disallowed(frontier, rules, "url"), visited, pages, budget, links_of)
 
 
 def crawl(
@@ -112,29 +112,27 @@ def crawl(
 ) -> FrontierStep:
     """Steps until the queue is empty or ``max_pages`` pages are fetched; one job chain per level.
 
-    ``seeds(url, seq)``. Links are extracted once for the whole corpus. The visited order is ``seq``.
+    ``seeds(url, seq)``. Links are extracted once for the whole corpus, and forbidden ones never enter the table, so
+    only the seeds are held against the rules. ``seq`` of the result is the visiting order.
     """
-    spark = pages.sparkSession
     known = written(pages.select("url").distinct(), "known")
     links = written(drop_disallowed(site_links(pages, site), rules, "abs_url").select("url", "pos", "abs_url"), "links")
-    queue, fetched, offset = seeds, 0, 0
-    visited = spark.createDataFrame([], VISITED_SCHEMA)
+    queue, fetched, level = flag_disallowed(seeds, rules, "url"), 0, 0
+    visited = pages.sparkSession.createDataFrame([], f"level int, {VISITED_SCHEMA}")
     while fetched < max_pages and not queue.isEmpty():
         step = _step(
             queue,
             visited,
             known,
-            rules,
             max_pages - fetched,
             lambda batch: lookup_join(links, batch, "url", spread_by="abs_url"),
         )
-        numbered = number_rows(step.visited, ["seq"], "_n", offset).select(
-            "url", F.col("_n").alias("seq"), "status"
-        )
-        visited = visited.unionByName(numbered)
-        offset += numbered.count()
-        queue, fetched = step.frontier, fetched + step.fetched
-    return FrontierStep(queue, visited, fetched)
+        visited = visited.unionByName(step.visited.withColumn("level", F.lit(level)))
+        # left-over seeds keep their verdict; links have passed the rules
+        queue = step.frontier.withColumn("disallowed", F.lit(False))
+        fetched, level = fetched + step.fetched, level + 1
+    order = number_rows(visited.withColumnRenamed("seq", "_at"), ["level", "_at"], "seq")
+    return FrontierStep(queue.select("url", "seq"), order.select("url", "seq", "status"), fetched)
 
 
 def crawl_summary(visited: DataFrame, frontier: DataFrame) -> DataFrame:
@@ -149,7 +147,8 @@ def crawl_depth(links: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame
     """``url, depth``: hops from the seeds over ``links(url, abs_url)``, up to ``max_depth``.
 
     One join, one distinct and one anti-join per level. Every level is a written table, so plans stay short and a
-    lost executor repeats at most one level. The level is broadcast only while it fits.
+    lost executor repeats at most one level. The level is broadcast only while it fits. Each level reads ``links``,
+    which should therefore be a stored table.
     """
     edges = links.select("url", cut_fragment("abs_url").alias("_to"))
     level = written(seeds.select("url").distinct().withColumn("depth", F.lit(0).cast("bigint")), "depth")

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.url import netloc, with_absolute_url
+from ..functions.url import netloc, with_absolute_url, with_base_parts
 
 # Fixed value: quoted, non-empty link targets of anchors that do not start with '#'.
 LINK_PATTERN = r"""(?iU)<a\s+(?:[^>]*?\s+)?href=["']([^"' >#][^"' >]*)["']"""
@@ -29,4 +29,4 @@ def same_site(links: DataFrame, site: str | Column | None = None) -> DataFrame:
 
 def site_links(pages: DataFrame, site: str | Column | None = None) -> DataFrame:
     """Extract, resolve and keep the links of the site."""
-    return same_site(resolve_links(extract_links(pages)), site)
+    return same_site(resolve_links(extract_links(with_base_parts(pages, "url"))), site)

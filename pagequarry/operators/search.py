@@ -19,11 +19,14 @@ from pyspark.sql import functions as F
 from ..functions.text import tokens
 from ..functions.weights import METHODS, doc_share, idf_classic, idf_smooth, term_frequency
 from ..plans.joins import BROADCAST_BYTES, HOT_ROWS, HOT_SHARE, SALTS, fits_broadcast, hot_split_join, salted_join
+from ..plans.storage import written
 from .index import SearchIndex, bucket_of
 
 DEFAULT_TOP_K = 10
 # Up to this many distinct terms the list is written into the plan as a filter.
 LITERAL_TERMS = 1_000
+# Bytes of a query's number and digest, with room for the row around them.
+KEY_BYTES = 160
 
 
 def query_table(spark, queries) -> DataFrame:
@@ -50,19 +53,27 @@ class Searcher:
 
     # -- query side ---------------------------------------------------------------------------------------
 
-    def _expand(self, queries) -> tuple[DataFrame, DataFrame]:
-        """Queries as ``query_id, query_key`` and the terms of each distinct query as
-        ``query_key, term, positions``. Repeated words keep all their positions."""
+    def _expand(self, queries) -> tuple[DataFrame, DataFrame, bool]:
+        """``query_id, query_key`` of all queries, ``query_key, pos, term`` of the distinct ones, and whether both are
+        small enough to be broadcast. A repeated word has a row per place; queries with the same tokens share a key
+        (the least of their numbers), so copies are scored once."""
         tokenized = query_table(self.spark, queries).select("query_id", tokens(F.col("text")).alias("tokens"))
         # tokens hold no space, so the joined text stands for the list
-        keyed = tokenized.withColumn("query_key", F.sha2(F.array_join("tokens", " "), 256))
-        distinct = keyed.groupBy("query_key").agg(F.first("tokens").alias("tokens"))
-        terms = (
-            distinct.select("query_key", F.posexplode("tokens").alias("pos", "term"))
-            .groupBy("query_key", "term")
-            .agg(F.array_sort(F.collect_list("pos")).alias("positions"))
-        )
-        return keyed.select("query_id", "query_key"), terms
+        keyed = tokenized.withColumn("_digest", F.sha2(F.array_join("tokens", " "), 256))
+        distinct = keyed.groupBy("_digest").agg(F.min("query_id").alias("query_key"), F.first("tokens").alias("tokens"))
+        terms = distinct.select("query_key", F.posexplode("tokens").alias("pos", "term"))
+        small = _given_small(queries)
+        if not small:
+            # measured, listed and joined below, so it is settled once
+            terms = written(terms, "query-terms")
+            small = fits_broadcast(terms) and keyed.count() * KEY_BYTES <= BROADCAST_BYTES
+        keys = distinct.select("_digest", "query_key")
+        wanted = keyed.select("query_id", "_digest")
+        if small:
+            wanted = wanted.join(F.broadcast(keys), "_digest")
+        else:
+            wanted = salted_join(wanted, keys, ["_digest"], "inner", ["query_id"])
+        return wanted.select("query_id", "query_key"), terms, small
 
     def _literal_terms(self, terms: DataFrame) -> dict[str, int] | None:
         """The distinct terms and their bucket folders when there are at most LITERAL_TERMS of them, else None."""
@@ -82,13 +93,16 @@ class Searcher:
     # -- scoring ------------------------------------------------------------------------------------------
 
     def _parts(self, terms: DataFrame, small: bool) -> DataFrame:
-        """One row per query, document and query term: ``positions``, ``tf`` and both IDFs."""
+        """One row per query, document and matching query word: ``pos``, ``tf`` and both IDFs."""
         literals = self._literal_terms(terms)
         frequencies = self._of_terms(self.index.term_df, literals).select("term", "df")
         hits = self._of_terms(self.index.postings, literals).select(
             "term", "doc_id", term_frequency("tf", "doc_len").alias("tf")
         )
         if small:
+            if literals is None:
+                # before the shuffle, drop what no query asks for
+                hits = hits.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
             # unique terms on the other side, so the result is no longer than the measured term table
             weighed = self._with_idf(frequencies.join(F.broadcast(terms), "term"))
             return hits.repartition("doc_id").join(F.broadcast(weighed), "term")
@@ -98,26 +112,30 @@ class Searcher:
     def _with_idf(self, frequencies: DataFrame) -> DataFrame:
         return frequencies.select(
             "query_key",
+            "pos",
             "term",
-            "positions",
             idf_classic(self._n, "df").alias("idf_classic"),
             idf_smooth(self._n, "df").alias("idf_smooth"),
         )
 
     def _score(self, terms: DataFrame, methods: Sequence[str], small: bool) -> DataFrame:
-        """``query_key, doc_id, first_pos, method, score`` for every matching document."""
+        """``query_key, doc_id, first_pos, method, score`` for every matching document.
+
+        A running sum adds the weights in the order of the query words, so equal inputs give equal doubles however
+        the rows arrive. It is a sort that can spill, and no list of a document's matches is ever built.
+        """
+        so_far = W.partitionBy("query_key", "doc_id").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+        weights = {f"w_{m}": F.col("tf") * F.col(_idf_column(m)) for m in methods}
+        sums = {w: F.sum(w).over(so_far) for w in weights}
         per_doc = (
             self._parts(terms, small)
+            .select("query_key", "doc_id", "pos", *[w.alias(name) for name, w in weights.items()])
+            .withColumns(sums)
             .groupBy("query_key", "doc_id")
-            .agg(
-                F.min(F.get("positions", F.lit(0))).alias("first_pos"),
-                # no longer than the query
-                F.collect_list(F.struct("positions", "tf", "idf_classic", "idf_smooth")).alias("parts"),
-            )
-        )
-        scored = F.array(
-            *[F.struct(F.lit(m).alias("method"), _ordered_sum("parts", _idf_column(m)).alias("score")) for m in methods]
+            # weights are never negative, so the last running sum is the greatest
+            .agg(F.min("pos").alias("first_pos"), *[F.max(w).alias(w) for w in weights])
         )
+        scored = F.array(*[F.struct(F.lit(m).alias("method"), F.col(f"w_{m}").alias("score")) for m in methods])
         return per_doc.select("query_key", "doc_id", "first_pos", F.inline(scored))
 
     def search(self, queries, method: str = "classic", top_k: int = DEFAULT_TOP_K) -> DataFrame:
@@ -135,8 +153,7 @@ class Searcher:
     def _ranked(self, queries, methods: Sequence[str], top_k: int) -> DataFrame:
         if top_k < 0:
             raise ValueError("top_k must not be negative")
-        wanted, terms = self._expand(queries)
-        small = _given_small(queries) or (fits_broadcast(terms) and fits_broadcast(wanted))
+        wanted, terms, small = self._expand(queries)
         order = W.partitionBy("query_key", "method").orderBy(F.desc("score"), "first_pos", "doc_id")
         best = (
             self._score(terms, methods, small)
@@ -152,8 +169,7 @@ class Searcher:
 
     def match_counts(self, queries) -> DataFrame:
         """Matching documents per query before the cut; 0 for a query that matches nothing."""
-        wanted, terms = self._expand(queries)
-        small = _given_small(queries) or fits_broadcast(terms)
+        wanted, terms, small = self._expand(queries)
         per_query = (
             self._parts(terms, small)
             .select("query_key", "doc_id")
@@ -279,16 +295,3 @@ def _given_small(queries) -> bool:
 
 def _idf_column(method: str) -> str:
     return "idf_smooth" if method == "smooth" else "idf_classic"
-
-
-def _ordered_sum(parts: str, idf_column: str) -> Column:
-    """Sum of tf * idf over the query positions in their order, so equal inputs give equal doubles."""
-    placed = F.flatten(
-        F.transform(
-            parts,
-            lambda p: F.transform(
-                p["positions"], lambda pos: F.struct(pos.alias("pos"), (p["tf"] * p[idf_column]).alias("w"))
-            ),
-        )
-    )
-    return F.aggregate(F.array_sort(placed), F.lit(0.0), lambda total, x: total + x["w"])

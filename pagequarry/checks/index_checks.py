@@ -7,7 +7,7 @@ from ..operators.index import explode_tokens, number_documents
 from ..operators.search import Searcher
 from ..plans.storage import fresh_path
 from ..sources.index_store import load_index, save_index
-from .inputs import INDEX_BUCKETS, document_index, stored_index, table
+from .inputs import INDEX_BUCKETS, document_index, searcher, table
 
 TOKENS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]{{3,}}')"
 TEXT_TOKENS = TOKENS.format("text")
@@ -89,7 +89,7 @@ def index_roundtrip(spark, sf_dir):
 
 def vocabulary_idf(spark, sf_dir):
     """Both IDFs of the whole vocabulary."""
-    idfs = Searcher(stored_index(spark, sf_dir)).vocabulary_idf()
+    idfs = searcher(spark, sf_dir).vocabulary_idf()
     return idfs.select("term", "df", F.round("idf_classic", 9).alias("idf_classic"), F.round("idf_smooth", 9).alias("idf_smooth"))
 
 
@@ -97,13 +97,13 @@ def idf_table(spark, sf_dir):
     """IDFs of requested terms: every term of the benchmark, and a variant of each that no document has."""
     words = table(spark, sf_dir, "benchmark").select(F.explode(text_tokens(F.col("text"))).alias("text")).distinct()
     asked = words.unionByName(words.select(F.concat("text", F.lit("_unseen")).alias("text")))
-    found = Searcher(stored_index(spark, sf_dir)).idf_table(asked.select(F.lit(0).alias("query_id"), "text"))
+    found = searcher(spark, sf_dir).idf_table(asked.select(F.lit(0).alias("query_id"), "text"))
     return found.select("term", "df", F.round("idf_classic", 9).alias("idf_classic"), F.round("idf_smooth", 9).alias("idf_smooth"))
 
 
 def tfidf_weights(spark, sf_dir):
     """Both weights of every posting, summed up per document."""
-    weights = Searcher(stored_index(spark, sf_dir)).weights()
+    weights = searcher(spark, sf_dir).weights()
     return weights.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_terms"),
         F.round(F.sum("tf"), 6).alias("tf"),

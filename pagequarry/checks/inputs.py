@@ -1,6 +1,7 @@
 """Inputs of the registered queries: the given tables, and larger forms Spark derives from them."""
 
 import hashlib
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.url import BASE_PARTS, cut_fragment, netloc, url_path, with_base_parts
 from ..operators.index import SearchIndex, build_index
 from ..operators.links import extract_links
+from ..operators.search import Searcher
 from ..plans.storage import shared_folder
 from ..sources.index_store import load_or_build
 
@@ -34,6 +36,12 @@ def stored_index(spark: SparkSession, sf_dir: str) -> SearchIndex:
     return load_or_build(spark, path, lambda: document_index(spark, sf_dir), buckets=INDEX_BUCKETS)
 
 
+@cache
+def searcher(spark: SparkSession, sf_dir: str) -> Searcher:
+    """A searcher over the stored index, kept for the session like any index in use."""
+    return Searcher(stored_index(spark, sf_dir))
+
+
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 

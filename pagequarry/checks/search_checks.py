@@ -6,7 +6,7 @@ from ..operators.extract import extract_fields
 from ..operators.index import build_index
 from ..operators.search import Searcher
 from .index_checks import IDFS, POSTINGS, TEXT_TOKENS, TOKENS
-from .inputs import benchmark_queries, document_index, stored_index, table
+from .inputs import benchmark_queries, document_index, searcher, table
 
 QUERY = "historic thion of the nicht temple"
 REPEATED = "thion nicht thion the thion"
@@ -24,36 +24,36 @@ def rounded(ranked):
 
 def flagship(spark, sf_dir):
     """Documents -> index -> ranked search -> metadata, without storing anything."""
-    searcher = Searcher(document_index(spark, sf_dir))
-    return rounded(searcher.with_metadata(searcher.search(QUERY)))
+    index = Searcher(document_index(spark, sf_dir))
+    return rounded(index.with_metadata(index.search(QUERY)))
 
 
 def search_classic(spark, sf_dir):
-    searcher = Searcher(stored_index(spark, sf_dir))
-    return rounded(searcher.with_metadata(searcher.search(QUERY)))
+    index = searcher(spark, sf_dir)
+    return rounded(index.with_metadata(index.search(QUERY)))
 
 
 def search_smooth(spark, sf_dir):
-    searcher = Searcher(stored_index(spark, sf_dir))
-    return rounded(searcher.with_metadata(searcher.search(QUERY, "smooth")))
+    index = searcher(spark, sf_dir)
+    return rounded(index.with_metadata(index.search(QUERY, "smooth")))
 
 
 def search_repeated_term(spark, sf_dir):
-    return rounded(Searcher(stored_index(spark, sf_dir)).search(REPEATED))
+    return rounded(searcher(spark, sf_dir).search(REPEATED))
 
 
 def search_batch(spark, sf_dir):
     """The whole benchmark as queries, best ten documents each."""
-    searcher = Searcher(stored_index(spark, sf_dir))
-    return rounded(searcher.search(benchmark_queries(spark, sf_dir))).drop("method")
+    index = searcher(spark, sf_dir)
+    return rounded(index.search(benchmark_queries(spark, sf_dir))).drop("method")
 
 
 def search_match_count(spark, sf_dir):
-    return Searcher(stored_index(spark, sf_dir)).match_counts(benchmark_queries(spark, sf_dir))
+    return searcher(spark, sf_dir).match_counts(benchmark_queries(spark, sf_dir))
 
 
 def compare_idf(spark, sf_dir):
-    return rounded(Searcher(stored_index(spark, sf_dir)).compare(SHORT, 3))
+    return rounded(searcher(spark, sf_dir).compare(SHORT, 3))
 
 
 def term_statistics(spark, sf_dir):
@@ -63,7 +63,7 @@ def term_statistics(spark, sf_dir):
     inputs = asked.select("query_id", F.posexplode(forms).alias("form", "text")).select(
         (F.col("query_id") * 3 + F.col("form")).alias("query_id"), "text"
     )
-    found = Searcher(stored_index(spark, sf_dir)).term_statistics(inputs)
+    found = searcher(spark, sf_dir).term_statistics(inputs)
     places = ("idf_classic", "idf_smooth", "percentage_of_docs")
     return found.drop("input").withColumns({c: F.round(c, 9) for c in places})
 
@@ -72,8 +72,8 @@ def search_display(spark, sf_dir):
     """Search over page records; the name is missing where the title holds an entity."""
     records = extract_fields(table(spark, sf_dir, "pages").select("page_id", "url", "html"), GENERIC_RULES)
     records = records.withColumn("name", F.when(~F.col("name").contains("&"), F.col("name"))).withColumn("type", F.lit(""))
-    searcher = Searcher(build_index(records, "page_id"))
-    return searcher.display(searcher.search([SHORT, "than ouier der"], top_k=20))
+    index = Searcher(build_index(records, "page_id"))
+    return index.display(index.search([SHORT, "than ouier der"], top_k=20))
 
 
 QUERIES = {

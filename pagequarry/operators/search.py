@@ -11,6 +11,7 @@ A search is one Spark job however many queries it answers. Its shape:
 """
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -37,6 +38,16 @@ def query_table(spark, queries) -> DataFrame:
     return spark.createDataFrame(list(enumerate(texts)), "query_id bigint, text string")
 
 
+class Wanted(NamedTuple):
+    """Expanded queries: ``query_id, query_key`` of all of them; ``query_key, pos, term`` of the distinct ones; whether
+    both are small enough to be broadcast; the terms with their bucket folders, when few enough to be written out."""
+
+    queries: DataFrame
+    terms: DataFrame
+    small: bool
+    literals: dict[str, int] | None
+
+
 class Searcher:
     """Answers queries from an index; refuses an index without documents."""
 
@@ -53,32 +64,35 @@ class Searcher:
 
     # -- query side ---------------------------------------------------------------------------------------
 
-    def _expand(self, queries) -> tuple[DataFrame, DataFrame, bool]:
-        """``query_id, query_key`` of all queries, ``query_key, pos, term`` of the distinct ones, and whether both are
-        small enough to be broadcast. A repeated word has a row per place; queries with the same tokens share a key
-        (the least of their numbers), so copies are scored once."""
+    def _expand(self, queries) -> Wanted:
+        """A repeated word has a row per place; queries with the same tokens share a key (the least of their
+        numbers), so copies are scored once."""
         tokenized = query_table(self.spark, queries).select("query_id", tokens(F.col("text")).alias("tokens"))
+        if _given_small(queries):
+            # a few strings of the caller: not worth a shuffle to find copies among them
+            own = tokenized.select(F.col("query_id").alias("query_key"), F.posexplode("tokens").alias("pos", "term"))
+            same = tokenized.select("query_id", F.col("query_id").alias("query_key"))
+            return Wanted(same, own, True, self._literal_terms(own))
         # tokens hold no space, so the joined text stands for the list
         keyed = tokenized.withColumn("_digest", F.sha2(F.array_join("tokens", " "), 256))
         distinct = keyed.groupBy("_digest").agg(F.min("query_id").alias("query_key"), F.first("tokens").alias("tokens"))
         terms = distinct.select("query_key", F.posexplode("tokens").alias("pos", "term"))
-        small = _given_small(queries)
-        if not small:
-            # measured, listed and joined below, so it is settled once
-            terms = written(terms, "query-terms")
-            small = fits_broadcast(terms) and keyed.count() * KEY_BYTES <= BROADCAST_BYTES
+        # measured, listed and joined below, so it is settled once
+        terms = written(terms, "query-terms")
+        small = fits_broadcast(terms) and keyed.count() * KEY_BYTES <= BROADCAST_BYTES
         keys = distinct.select("_digest", "query_key")
         wanted = keyed.select("query_id", "_digest")
         if small:
             wanted = wanted.join(F.broadcast(keys), "_digest")
         else:
             wanted = salted_join(wanted, keys, ["_digest"], "inner", ["query_id"])
-        return wanted.select("query_id", "query_key"), terms, small
+        literals = self._literal_terms(terms.select("term").distinct())
+        return Wanted(wanted.select("query_id", "query_key"), terms, small, literals)
 
     def _literal_terms(self, terms: DataFrame) -> dict[str, int] | None:
-        """The distinct terms and their bucket folders when there are at most LITERAL_TERMS of them, else None."""
+        """The given terms and their bucket folders when there are at most LITERAL_TERMS of them, else None."""
         folder = bucket_of("term", self.index.buckets or 1)
-        found = terms.select("term", folder.alias("folder")).distinct().limit(LITERAL_TERMS + 1).collect()
+        found = terms.select("term", folder.alias("folder")).limit(LITERAL_TERMS + 1).collect()
         return {r.term: r.folder for r in found} if len(found) <= LITERAL_TERMS else None
 
     def _of_terms(self, table: DataFrame, literals: dict[str, int] | None) -> DataFrame:
@@ -92,14 +106,14 @@ class Searcher:
 
     # -- scoring ------------------------------------------------------------------------------------------
 
-    def _parts(self, terms: DataFrame, small: bool) -> DataFrame:
+    def _parts(self, wanted: Wanted) -> DataFrame:
         """One row per query, document and matching query word: ``pos``, ``tf`` and both IDFs."""
-        literals = self._literal_terms(terms)
+        terms, literals = wanted.terms, wanted.literals
         frequencies = self._of_terms(self.index.term_df, literals).select("term", "df")
         hits = self._of_terms(self.index.postings, literals).select(
             "term", "doc_id", term_frequency("tf", "doc_len").alias("tf")
         )
-        if small:
+        if wanted.small:
             if literals is None:
                 # before the shuffle, drop what no query asks for
                 hits = hits.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
@@ -118,7 +132,7 @@ class Searcher:
             idf_smooth(self._n, "df").alias("idf_smooth"),
         )
 
-    def _score(self, terms: DataFrame, methods: Sequence[str], small: bool) -> DataFrame:
+    def _score(self, wanted: Wanted, methods: Sequence[str]) -> DataFrame:
         """``query_key, doc_id, first_pos, method, score`` for every matching document.
 
         A running sum adds the weights in the order of the query words, so equal inputs give equal doubles however
@@ -128,7 +142,7 @@ class Searcher:
         weights = {f"w_{m}": F.col("tf") * F.col(_idf_column(m)) for m in methods}
         sums = {w: F.sum(w).over(so_far) for w in weights}
         per_doc = (
-            self._parts(terms, small)
+            self._parts(wanted)
             .select("query_key", "doc_id", "pos", *[w.alias(name) for name, w in weights.items()])
             .withColumns(sums)
             .groupBy("query_key", "doc_id")
@@ -153,32 +167,32 @@ class Searcher:
     def _ranked(self, queries, methods: Sequence[str], top_k: int) -> DataFrame:
         if top_k < 0:
             raise ValueError("top_k must not be negative")
-        wanted, terms, small = self._expand(queries)
+        wanted = self._expand(queries)
         order = W.partitionBy("query_key", "method").orderBy(F.desc("score"), "first_pos", "doc_id")
         best = (
-            self._score(terms, methods, small)
+            self._score(wanted, methods)
             .withColumn("rank", F.row_number().over(order))
             .where(F.col("rank") <= top_k)
             .drop("first_pos")
         )
-        if small:
-            answers = best.join(F.broadcast(wanted), "query_key")
+        if wanted.small:
+            answers = best.join(F.broadcast(wanted.queries), "query_key")
         else:
-            answers = salted_join(wanted, best, ["query_key"], "inner", ["query_id"])
+            answers = salted_join(wanted.queries, best, ["query_key"], "inner", ["query_id"])
         return answers.select("query_id", "method", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score")
 
     def match_counts(self, queries) -> DataFrame:
         """Matching documents per query before the cut; 0 for a query that matches nothing."""
-        wanted, terms, small = self._expand(queries)
+        wanted = self._expand(queries)
         per_query = (
-            self._parts(terms, small)
+            self._parts(wanted)
             .select("query_key", "doc_id")
             .distinct()
             .groupBy("query_key")
             .agg(F.count(F.lit(1)).alias("n"))
         )
         # both sides hold one row per query (or per distinct one), and the counts are the smaller of the two
-        counted = salted_join(wanted, per_query, ["query_key"], "left", ["query_id"], 1 if small else SALTS)
+        counted = salted_join(wanted.queries, per_query, ["query_key"], "left", ["query_id"], 1 if wanted.small else SALTS)
         return counted.select("query_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("matches"))
 
     # -- metadata, statistics, weights --------------------------------------------------------------------

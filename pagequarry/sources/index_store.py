@@ -9,18 +9,28 @@ the folders of its terms only. Rows are shuffled by bucket and a salt: a hot ter
 many files. Inside a file rows are sorted, so parquet statistics skip the other terms of the bucket.
 """
 
+import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.index import SearchIndex, bucket_of, corpus_statistics, term_totals
 from ..plans.joins import SALTS
 
 BUCKETS = 256
-TABLES = ("postings", "docs", "term_df", "doc_lengths", "corpus_stats")
-MANIFEST_SCHEMA = "build string, fields array<string>, buckets int, built_at timestamp"
+BUILD_SCHEMA = "build string, fields array<string>, buckets int, docs_schema string"
+MANIFEST_SCHEMA = f"{BUILD_SCHEMA}, built_at timestamp"
+# Column types of the tables; those of the metadata depend on the documents and lie in the manifest.
+SCHEMAS = {
+    "postings": "term string, doc_id bigint, tf bigint, doc_len bigint, bucket int",
+    "term_df": "term string, df bigint, occurrences bigint, bucket int",
+    "doc_lengths": "doc_id bigint, doc_len bigint",
+    "corpus_stats": "total_docs bigint, total_unique_terms bigint, indexed_fields array<string>",
+}
 
 
 def _write_bucketed(df: DataFrame, key: str, spread_by: str, order: list[str], buckets: int, path: str) -> None:
@@ -38,21 +48,28 @@ def save_index(index: SearchIndex, path: str, buckets: int = BUCKETS) -> SearchI
     spark = index.postings.sparkSession
     build = uuid.uuid4().hex
     root = f"{path}/builds/{build}"
+    docs_schema = index.docs.withColumn("bucket", F.lit(0)).schema.json()
     _write_bucketed(index.postings, "term", "doc_id", ["term", "doc_id"], buckets, f"{root}/postings")
-    stored_postings = spark.read.parquet(f"{root}/postings")
-    _write_bucketed(term_totals(stored_postings), "term", "term", ["term"], buckets, f"{root}/term_df")
+    totals = term_totals(_table(spark, root, "postings"))
+    _write_bucketed(totals, "term", "term", ["term"], buckets, f"{root}/term_df")
     _write_bucketed(index.docs, "doc_id", "doc_id", ["doc_id"], buckets, f"{root}/docs")
     index.doc_lengths.write.parquet(f"{root}/doc_lengths")
-    docs, terms = spark.read.parquet(f"{root}/docs"), spark.read.parquet(f"{root}/term_df")
-    corpus_statistics(docs, terms, index.fields).write.parquet(f"{root}/corpus_stats")
-    row = spark.createDataFrame([(build, list(index.fields), buckets)], "build string, fields array<string>, buckets int")
+    docs = _table(spark, root, "docs", docs_schema)
+    stats = corpus_statistics(docs, _table(spark, root, "term_df"), index.fields)
+    stats.write.parquet(f"{root}/corpus_stats")
+    row = spark.createDataFrame([(build, list(index.fields), buckets, docs_schema)], BUILD_SCHEMA)
     row.withColumn("built_at", F.current_timestamp()).write.mode("append").parquet(f"{path}/manifest")
-    return _open_build(spark, path, build, index.fields, buckets)
+    return _open_build(spark, path, build, index.fields, buckets, docs_schema)
 
 
-def _open_build(spark: SparkSession, path: str, build: str, fields, buckets: int) -> SearchIndex:
-    root = f"{path}/builds/{build}"
-    tables = {t: spark.read.parquet(f"{root}/{t}") for t in TABLES}
+def _table(spark: SparkSession, root: str, name: str, docs_schema: str = "") -> DataFrame:
+    """A stored table; its types are known, so no file is opened to find them."""
+    schema = SCHEMAS.get(name) or StructType.fromJson(json.loads(docs_schema))
+    return spark.read.schema(schema).parquet(f"{root}/{name}")
+
+
+def _open_build(spark: SparkSession, path: str, build: str, fields, buckets: int, docs_schema: str) -> SearchIndex:
+    tables = {t: _table(spark, f"{path}/builds/{build}", t, docs_schema) for t in (*SCHEMAS, "docs")}
     return SearchIndex(fields=tuple(fields), buckets=buckets, **tables)
 
 
@@ -73,14 +90,17 @@ def load_index(spark: SparkSession, path: str) -> SearchIndex:
     newest = _newest_build(spark, path)
     if newest is None:
         raise FileNotFoundError(f"no finished index at {path}")
-    return _open_build(spark, path, newest.build, newest.fields, newest.buckets)
+    return _open_build(spark, path, newest.build, newest.fields, newest.buckets, newest.docs_schema)
 
 
 def load_or_build(
-    spark: SparkSession, path: str, build, force_rebuild: bool = False, buckets: int = BUCKETS
+    spark: SparkSession,
+    path: str,
+    build: Callable[[], SearchIndex],
+    force_rebuild: bool = False,
+    buckets: int = BUCKETS,
 ) -> SearchIndex:
     """Load the stored index, or call ``build()`` for one and save it when there is none or a rebuild is forced."""
-    newest = None if force_rebuild else _newest_build(spark, path)
-    if newest is not None:
-        return _open_build(spark, path, newest.build, newest.fields, newest.buckets)
-    return save_index(build(), path, buckets)
+    if force_rebuild or not index_exists(spark, path):
+        return save_index(build(), path, buckets)
+    return load_index(spark, path)

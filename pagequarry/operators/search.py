@@ -198,14 +198,22 @@ class Searcher:
     # -- metadata, statistics, weights --------------------------------------------------------------------
 
     def with_metadata(self, results: DataFrame) -> DataFrame:
-        """Attach the stored metadata to an already cut result."""
-        on = ["doc_id"]
-        docs = self.index.docs
-        if self.index.buckets:
-            # the folder column lets the results prune the metadata folders at run time
-            results = results.withColumn("bucket", bucket_of("doc_id", self.index.buckets))
-            on = ["bucket", "doc_id"]
-        return results.join(docs, on).drop("bucket")
+        """Attach the stored metadata to an already cut result.
+
+        The result is settled first. A short one turns into literal document filters, which prune the metadata
+        folders and row groups; a long one is broadcast while it fits, and beyond that hot documents are split.
+        """
+        settled = written(results, "results")
+        docs = self.index.docs.drop("bucket")
+        folder = bucket_of("doc_id", self.index.buckets or 1)
+        ids = settled.select("doc_id", folder.alias("folder")).distinct().limit(LITERAL_TERMS + 1).collect()
+        if len(ids) <= LITERAL_TERMS:
+            docs = self.index.docs.where(F.col("doc_id").isin([r.doc_id for r in ids]))
+            if self.index.buckets:
+                docs = docs.where(F.col("bucket").isin(sorted({r.folder for r in ids}))).drop("bucket")
+        if fits_broadcast(settled):
+            return docs.join(F.broadcast(settled), "doc_id")
+        return hot_split_join(settled, docs, "doc_id", "inner", "query_id")
 
     def display(self, results: DataFrame, name: str = "name", url: str = "url") -> DataFrame:
         """Results as shown to a reader: rank, name and URL (``N/A`` when absent), 4-decimal score, and country

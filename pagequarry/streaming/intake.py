@@ -6,6 +6,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.joins import SALTS
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PAGE_SCHEMA = "page_id bigint, url string, html string"
 
 
@@ -31,8 +33,18 @@ def first_seen_within(pages: DataFrame, event_time: str, delay: str, spread_by:
     return salted.dropDuplicatesWithinWatermark(["url", "_salt"]).drop("_salt").dropDuplicatesWithinWatermark(["url"])
 
 
+def _chosen_store(conf) -> str:
+    chosen = conf.get(STATE_STORE)
+    return ROCKSDB if chosen.endswith("HDFSBackedStateStoreProvider") else chosen
+
+
 def start_intake(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Take in all pages present now and append them to the page table at ``path``; restart to go on."""
+    """Take in all pages present now and append them to the page table at ``path``; restart to go on.
+
+    The seen URLs are kept in RocksDB, on disk rather than in the executors' heap, unless the session says otherwise.
+    """
+    conf = pages.sparkSession.conf
+    conf.set(STATE_STORE, _chosen_store(conf))
     return (
         pages.writeStream.format("parquet")
         .option("path", path)

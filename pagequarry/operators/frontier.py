@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.url import cut_fragment
-from ..plans.joins import lookup_join
+from ..plans.joins import fits_broadcast, keys_among, lookup_join
 from ..plans.ordering import HEAP_ROWS, first_rows, number_rows
 from ..plans.storage import written
 from .links import site_links
@@ -39,8 +39,9 @@ def queue_of(urls: DataFrame, order: list[str | Column]) -> DataFrame:
 
 def _attempts(queue: DataFrame, visited: DataFrame, known: DataFrame) -> DataFrame:
     """Status each URL of the queue would get, already visited ones left out."""
-    todo = queue.join(visited.select("url").distinct(), "url", "left_anti")
-    found = todo.join(known.select("url").distinct().withColumn("_page", F.lit(True)), "url", "left")
+    small = fits_broadcast(queue.select("url"))
+    todo = queue.join(keys_among(visited, queue, "url", small), "url", "left_anti")
+    found = todo.join(keys_among(known, queue, "url", small).withColumn("_page", F.lit(True)), "url", "left")
     status = F.when(F.col("disallowed"), "disallowed").when(F.col("_page"), "fetched").otherwise("failed")
     return found.select("url", "seq", status.alias("status"))
 

@@ -78,3 +78,11 @@ def lookup_join(
     if fits_broadcast(right, limit):
         return left.join(F.broadcast(right), key, how)
     return hot_split_join(left, right, key, how, spread_by or left.columns[0])
+
+
+def keys_among(table: DataFrame, probe: DataFrame, key: str, small: bool) -> DataFrame:
+    """The distinct keys of a long ``table`` that occur in ``probe``. A ``small`` probe (measured by the caller) goes to
+    the table, so only the keys found are shuffled; otherwise repeats are dropped before the shuffle by key."""
+    if small:
+        return table.select(key).join(F.broadcast(probe.select(key)), key, "left_semi").distinct()
+    return table.select(key).distinct().join(probe.select(key), key, "left_semi")

@@ -40,10 +40,12 @@ def query_table(spark, queries) -> DataFrame:
 
 class Wanted(NamedTuple):
     """Expanded queries: ``query_id, query_key`` of all of them; ``query_key, pos, term`` of the distinct ones; whether
-    both are small enough to be broadcast; the terms with their bucket folders, when few enough to be written out."""
+    they are a few strings of the caller; whether both tables are small enough to be broadcast; the terms with their
+    bucket folders, when few enough to be written out."""
 
     queries: DataFrame
     terms: DataFrame
+    given: bool
     small: bool
     literals: dict[str, int] | None
 
@@ -72,7 +74,7 @@ class Searcher:
             # a few strings of the caller: not worth a shuffle to find copies among them
             own = tokenized.select(F.col("query_id").alias("query_key"), F.posexplode("tokens").alias("pos", "term"))
             same = tokenized.select("query_id", F.col("query_id").alias("query_key"))
-            return Wanted(same, own, True, self._literal_terms(own))
+            return Wanted(same, own, True, True, self._literal_terms(own))
         # tokens hold no space, so the joined text stands for the list
         keyed = tokenized.withColumn("_digest", F.sha2(F.array_join("tokens", " "), 256))
         distinct = keyed.groupBy("_digest").agg(F.min("query_id").alias("query_key"), F.first("tokens").alias("tokens"))
@@ -87,7 +89,7 @@ class Searcher:
         else:
             wanted = salted_join(wanted, keys, ["_digest"], "inner", ["query_id"])
         literals = self._literal_terms(terms.select("term").distinct())
-        return Wanted(wanted.select("query_id", "query_key"), terms, small, literals)
+        return Wanted(wanted.select("query_id", "query_key"), terms, False, small, literals)
 
     def _literal_terms(self, terms: DataFrame) -> dict[str, int] | None:
         """The given terms and their bucket folders when there are at most LITERAL_TERMS of them, else None."""
@@ -119,10 +121,16 @@ class Searcher:
                 hits = hits.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
             # unique terms on the other side, so the result is no longer than the measured term table
             weighed = self._with_idf(frequencies.join(F.broadcast(terms), "term"))
-            return hits.repartition("doc_id").join(F.broadcast(weighed), "term")
+            return self._by_document(hits, wanted).join(F.broadcast(weighed), "term")
         weighed = self._with_idf(salted_join(terms, frequencies, ["term"], "inner", ["query_key"]))
         return salted_join(hits, weighed, ["term"], "inner", ["doc_id"])
 
+    def _by_document(self, hits: DataFrame, wanted: Wanted) -> DataFrame:
+        if wanted.given:
+            return hits.repartition("doc_id")
+        # a table of queries multiplies the hits, so their tasks are not merged for being small before that
+        return hits.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+
     def _with_idf(self, frequencies: DataFrame) -> DataFrame:
         return frequencies.select(
             "query_key",

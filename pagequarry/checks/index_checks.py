@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens as text_tokens
 from ..operators.index import explode_tokens, number_documents
-from ..operators.search import Searcher
 from ..plans.storage import fresh_path
 from ..sources.index_store import load_index, save_index
 from .inputs import INDEX_BUCKETS, document_index, searcher, table

@@ -1,8 +1,6 @@
 import itertools
 from urllib.parse import urljoin, urlparse
 
-from pyspark.sql import functions as F
-
 from pagequarry.functions.url import netloc, page_rel_path, url_path, with_absolute_url
 
 KNOWN = [

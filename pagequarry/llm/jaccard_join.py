@@ -46,6 +46,8 @@ GUESSED_KEYS = 1_000_000
 # a key that is guessed in more documents than this is dealt with in several parts
 HOT_ROWS = 200_000
 PARTS = 64
+# so many documents are compared with one other by one task
+PAIRS_AT_ONCE = 2_000
 
 
 def most_apart(s: int, t: int, percent: int = PERCENT) -> int:
@@ -182,18 +184,14 @@ def _guess(texts: DataFrame, width: int, percent: int) -> Guess:
     return Guess(keys, rows.column("n").to_numpy().astype(np.int64))
 
 
-def _profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """``_id, _t, n, h, g, sketch, keys, hot`` of every document: digest of its text, its set's size, two digests of the
-    set, dense sketch, keys, and those of the keys that are dealt with in parts."""
-    shared = texts.sparkSession.sparkContext.broadcast(_guess(texts, width, percent))
+def _profiles(texts: DataFrame, width: int) -> DataFrame:
+    """``_id, _t, n, h, g, sketch`` of every document: digest of its text, its set's size, two digests of the set, and
+    its dense sketch."""
 
     def run(batches):
-        guess = shared.value
         for piece, sets in _sets(batches, "_text", width):
             sets = [ShingleSet(s) for s in sets]
             digests = [s.digests() for s in sets]
-            keys = [document_keys(s, guess, percent) for s in sets]
-            parts = [(guess.of(k) * SAMPLE_ONE_IN > HOT_ROWS) for k in keys]
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("_id"),
@@ -202,14 +200,35 @@ def _profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
                     pa.array([d[0] for d in digests], pa.int64()),
                     pa.array([d[1] for d in digests], pa.int64()),
                     _lists([s.dense() for s in sets]),
+                ],
+                names=["_id", "_t", "n", "h", "g", "sketch"],
+            )
+
+    return map_batches(texts, run, "_id long, _t long, n long, h long, g long, sketch array<long>")
+
+
+def _keyed(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``key, part, h``: the keys of every document; frequent ones are divided by document."""
+    shared = texts.sparkSession.sparkContext.broadcast(_guess(texts, width, percent))
+
+    def run(batches):
+        guess = shared.value
+        for _, sets in _sets(batches, "_text", width):
+            sets = [s for s in map(ShingleSet, sets) if s.size]
+            keys = [document_keys(s, guess, percent) for s in sets]
+            hot = [k[guess.of(k) * SAMPLE_ONE_IN > HOT_ROWS] for k in keys]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([s.digests()[0] for s in sets], pa.int64()),
                     _lists([_signed(k) for k in keys]),
-                    _lists([_signed(k[p]) for k, p in zip(keys, parts, strict=True)]),
+                    _lists([_signed(k) for k in hot]),
                 ],
-                names=["_id", "_t", "n", "h", "g", "sketch", "keys", "hot"],
+                names=["h", "keys", "hot"],
             )
 
-    schema = "_id long, _t long, n long, h long, g long, sketch array<long>, keys array<long>, hot array<long>"
-    return map_batches(texts, run, schema)
+    rows = map_batches(texts, run, "h long, keys array<long>, hot array<long>")
+    part = F.when(F.array_contains("hot", F.col("key")), F.pmod("h", F.lit(PARTS)) + 1).otherwise(0)
+    return rows.select("h", "hot", F.explode("keys").alias("key")).select("key", part.cast("int").alias("part"), "h")
 
 
 def _hang_together(keyed: DataFrame) -> DataFrame:
@@ -250,28 +269,50 @@ def _verified(pairs: DataFrame, profiles: DataFrame, texts: DataFrame, width: in
     near = sized.where(_may_link("_n1", "_n2", percent) & _within(_hamming("_s1", "_s2"), "_n1", "_n2", percent))
     near = written(near.select("lead", "h", "_n1", "_n2"), "candidates")
 
-    members = near.select(F.col("lead").alias("h")).unionByName(near.select("h")).distinct()
-    wanted = written(profiles.join(members, "h").select("_t", "h"), "members")
-    chosen = texts.join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "_t")
+    # each document goes to the first one it hangs from; a first one with many is sent to several parts
+    parts = near.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / PAIRS_AT_ONCE).cast("bigint").alias("_parts"))
+    part = F.pmod(F.xxhash64("h"), F.col("_parts"))
+    partners = near.join(parts, "lead").select("h", "lead", part.alias("part"), F.lit(1).alias("role"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))
+    leads = parts.select(F.col("lead").alias("h"), "lead", every.alias("part"), F.lit(0).alias("role"))
+    homes = partners.unionByName(leads).join(profiles.select("h", "_t", "_id"), "h")
+    homes = written(homes.withColumnRenamed("_id", "_owner"), "homes")
+    same = texts["_t"].eqNullSafe(homes["_t"]) & texts["_id"].eqNullSafe(homes["_owner"])
+    sent = texts.join(F.broadcast(homes) if fits_broadcast(homes) else homes, same)
+    sent = sent.select("lead", "part", "role", "h", "_text").repartition(F.col("lead"), F.col("part"))
+    return map_batches(
+        sent.sortWithinPartitions("lead", "part", "role", "h"),
+        _compare_runs(width, percent),
+        "lead long, h long, apart long, linked boolean",
+    ).distinct()
+
+
+def _compare_runs(width: int, percent: int):
+    """Verify runs of rows that begin with the first document, whose set alone is kept."""
 
     def run(batches):
-        for piece, sets in _sets(batches, "_text", width):
-            # of texts with one digest, the one that the class was made from
-            kept = [i for i, s in enumerate(sets) if ShingleSet(s).digests()[0] == piece.column("h")[i].as_py()]
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("h").take(pa.array(kept, pa.int64())), _lists([_signed(sets[i]) for i in kept])],
-                names=["h", "set"],
-            )
-
-    sets = map_batches(chosen.select("h", "_text"), run, "h long, set array<long>")
-    sets = written(sets.dropDuplicates(["h"]), "sets")
-    with_lead = near.join(sets.select(F.col("h").alias("lead"), F.col("set").alias("_a")), "lead")
-    both = with_lead.join(sets.select("h", F.col("set").alias("_b")), "h")
-    shared = F.size(F.array_intersect("_a", "_b"))
-    union = F.col("_n1") + F.col("_n2") - shared
-    return both.select(
-        "lead", "h", (union - shared).alias("apart"), (shared * 100 >= union * percent).alias("linked")
-    )
+        lead, held = None, None
+        for batch in batches:
+            for piece, sets in _sets([batch], "_text", width):
+                out = []
+                columns = (piece.column(c).to_pylist() for c in ("lead", "part", "role", "h"))
+                for key, part, role, h, shingles in zip(*columns, sets, strict=True):
+                    # of texts with one digest, the one that the class was made from
+                    if ShingleSet(shingles).digests()[0] != h:
+                        continue
+                    if role == 0:
+                        lead, held = (key, part), shingles
+                    elif lead == (key, part):
+                        common = len(np.intersect1d(held, shingles, assume_unique=True))
+                        union = len(held) + len(shingles) - common
+                        out.append((key, h, union - common, 100 * common >= percent * union))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)],
+                    names=["lead", "h", "apart", "linked"],
+                )
+
+    return run
 
 
 def _within(apart: Column, n1: str, n2: str, percent: int) -> Column:
@@ -295,28 +336,26 @@ def jaccard_components(
     """``_id, _t, n_shingles, component_id`` for every row of ``docs``: id and digest of its text, the size of its set,
     and the least doc_id that links lead to."""
     texts = docs.select(F.col(doc_id).cast("bigint").alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_t"))
-    found = written(_profiles(texts, width, percent), "profiles")
+    found = written(_profiles(texts, width), "profiles")
 
     # one document per set goes on
     classes = found.where(F.col("n") > 0).groupBy("h", "g").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     classes = written(classes, "classes")
-    copies = found.where(F.col("n") > 0).select("_id", "h", "g").join(
+    copies = found.where(F.col("n") > 0).select("_id", "_t", "h", "g").join(
         classes.where(F.col("_rows") > 1).select(F.col("h").alias("_h"), F.col("g").alias("_g"), "_first"),
         (F.col("h") == F.col("_h")) & (F.col("g") == F.col("_g")) & (F.col("_id") != F.col("_first")),
     )
-    copies = written(copies.select("_id", "h").distinct(), "copies")
+    copies = written(copies.select("_id", "_t", "h").distinct(), "copies")
     drop = F.broadcast(copies) if fits_broadcast(copies) else copies
     single = found.where(F.col("n") > 0).join(drop, ["_id", "h"], "left_anti")
 
-    rows = single.select("h", "hot", F.explode("keys").alias("key"))
-    part = F.when(F.array_contains("hot", F.col("key")), F.pmod("h", F.lit(PARTS)) + 1).otherwise(0)
-    hung = written(_hang_together(rows.select("key", part.cast("int").alias("part"), "h")), "hung")
+    hung = written(_hang_together(_keyed(texts.join(drop, ["_id", "_t"], "left_anti"), width, percent)), "hung")
     # first documents of the parts of a divided key
     heads = hung.where(F.col("lead") == F.col("h")).groupBy("key").agg(F.min("h").alias("_lead"))
     tops = hung.where(F.col("lead") == F.col("h")).join(heads, "key").where(F.col("h") != F.col("_lead"))
     shared = hung.where(F.col("lead") != F.col("h")).unionByName(tops.select("key", F.col("_lead").alias("lead"), "h"))
 
-    profiles = written(single.select("_t", "h", "n", "sketch").dropDuplicates(["h"]), "sketches")
+    profiles = written(single.select("_id", "_t", "h", "n", "sketch").dropDuplicates(["h"]), "sketches")
     pairs = shared.select("lead", "h").distinct()
     checked = written(_verified(pairs, profiles, texts, width, percent), "checked")
     links = checked.where("linked").select(F.col("lead").alias("a"), F.col("h").alias("b"))

@@ -23,7 +23,7 @@ from ..plans.storage import written
 
 MIN_TEXTS = 5
 MIN_WORDS = 3
-LEADING = 3
+LEADING = 5
 # shares of a leaf's template that must be fixed, and of the fixed words a line must agree with
 FIXED, AGREE = 0.6, 0.8
 MAJORITY = 0.5
@@ -32,36 +32,41 @@ WILD = "<*>"
 
 
 def masked(line: Column) -> Column:
-    """A line with single spaces between its words and variable-looking words replaced."""
-    spaced = F.trim(F.regexp_replace(line, r"[\x09-\x0D\x20]+", " "))
-    return F.regexp_replace(spaced, VARIABLE, WILD)
+    """A line with single spaces between its words and variable-looking words replaced. The patterns run only on lines
+    that need them."""
+    trimmed = F.btrim(line, F.lit("\t\n\x0b\x0c\r "))
+    odd = F.rlike(trimmed, F.lit(r"[\x09-\x0D]|  "))
+    spaced = F.when(odd, F.regexp_replace(trimmed, r"[\x09-\x0D\x20]+", " ")).otherwise(trimmed)
+    return F.when(F.rlike(spaced, F.lit("[0-9]")), F.regexp_replace(spaced, VARIABLE, WILD)).otherwise(spaced)
 
 
 def text_key(text: str) -> Column:
     """Digest that stands for a whole text."""
-    return F.md5(F.col(text))
+    return F.unhex(F.md5(F.col(text)))
 
 
-def parsed_lines(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``key, pos, template, line, words, leaf``: one row per line with enough words; digests stand for texts, masked
-    lines and leaves."""
-    rows = docs.where(F.col(text).isNotNull()).select(text_key(text).alias("key"), F.posexplode(F.split(text, "\n")).alias("pos", "_line"))
+def masked_lines(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``key, pos, line, words``: one row per masked line with enough words."""
+    rows = docs.where(F.col(text).isNotNull()).select(
+        text_key(text).alias("key"), F.posexplode(F.split(text, "\n")).alias("pos", "_line")
+    )
     rows = rows.select("key", "pos", masked(F.col("_line")).alias("line"))
     words = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    rows = rows.withColumn("words", words).where(F.col("words") >= MIN_WORDS)
+    return rows.withColumn("words", words).where(F.col("words") >= MIN_WORDS)
+
+
+def template_of() -> Column:
+    return F.xxhash64("line", "words").alias("template")
+
+
+def parsed_lines(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``key, pos, template, leaf``: digests of the text, the masked line, and its number of words with the leading ones."""
     leading = F.substring_index("line", " ", LEADING)
-    return rows.select(
-        "key",
-        "pos",
-        F.xxhash64("line", "words").alias("template"),
-        "line",
-        "words",
-        F.xxhash64(leading, "words").alias("leaf"),
-    )
+    return masked_lines(docs, text).select("key", "pos", template_of(), F.xxhash64(leading, "words").alias("leaf"))
 
 
-def recurring_templates(lines: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
-    """``template`` of the masked lines to drop."""
+def recurring_templates(docs: DataFrame, lines: DataFrame, text: str, min_texts: int = MIN_TEXTS) -> DataFrame:
+    """``template`` of the masked lines to drop; ``lines`` are the parsed lines of ``docs``."""
     seen = written(lines.select("key", "leaf", "template").distinct(), "line-keys")
     per_template = seen.groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("texts"))
     counted = written(per_template, "templates")
@@ -70,12 +75,11 @@ def recurring_templates(lines: DataFrame, min_texts: int = MIN_TEXTS) -> DataFra
     # leaves whose lines differ and that recur: only there is anything to generalise
     leaves = counted.groupBy("leaf").agg(F.sum("texts").alias("texts"), F.count(F.lit(1)).alias("kinds"))
     leaves = leaves.where((F.col("texts") >= min_texts) & (F.col("kinds") > 1)).select("leaf")
-    wanted = counted.join(leaves, "leaf").select("template", F.col("leaf").alias("_leaf"), "texts")
-    shown = lines.select("template", "line").distinct()
-    words = (
-        shown.join(wanted, "template")
-        .select("template", "_leaf", "texts", F.posexplode(F.split("line", " ")).alias("place", "word"))
-    )
+    wanted = written(counted.join(leaves, "leaf").select("template", F.col("leaf").alias("_leaf"), "texts"), "wanted")
+    side = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
+    # only the lines of these leaves are shuffled, one for each template
+    shown = masked_lines(docs, text).select(template_of(), "line").join(side, "template").distinct()
+    words = shown.select("template", "_leaf", "texts", F.posexplode(F.split("line", " ")).alias("place", "word"))
     words = written(words, "line-words")
     votes = words.groupBy("_leaf", "place", "word").agg(F.sum("texts").alias("n"))
     # the greatest count, then the least word
@@ -105,8 +109,8 @@ def recurring_templates(lines: DataFrame, min_texts: int = MIN_TEXTS) -> DataFra
 
 def dropped_lines(docs: DataFrame, text: str = "text", min_texts: int = MIN_TEXTS) -> DataFrame:
     """``key, dropped``: line numbers to drop, for the texts that have any."""
-    lines = parsed_lines(docs, text)
-    templates = written(recurring_templates(lines, min_texts), "recurring")
+    lines = written(parsed_lines(docs, text), "parsed-lines")
+    templates = written(recurring_templates(docs, lines, text, min_texts), "recurring")
     found = lines.select("key", "pos", "template")
     hit = found.join(F.broadcast(templates) if fits_broadcast(templates) else templates, "template")
     return hit.groupBy("key").agg(F.collect_set("pos").alias("dropped"))

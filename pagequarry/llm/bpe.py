@@ -30,8 +30,8 @@ from .arrow import add_columns, texts_of
 # Fixed value: how byte-level tokenizers of this family cut a text into pre-tokens.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = 1 << 31
-KEPT_PIECES = 400_000
-KEPT_PAIRS = 1_000_000
+KEPT_PIECES = 100_000
+KEPT_PAIRS = 200_000
 KEPT_LENGTH = 48
 
 

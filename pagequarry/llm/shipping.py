@@ -6,6 +6,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
@@ -29,4 +30,10 @@ def ship(spark: SparkSession) -> None:
 def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
     """``mapInArrow`` with this package at hand in the tasks."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def run_and_release(batches):
+        yield from run(batches)
+        # a worker waits for its next task; what this one's batches took goes back to the machine
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run_and_release, schema)

@@ -31,13 +31,18 @@ VARIABLE = r"[^ ]*[0-9][^ ]*"
 WILD = "<*>"
 
 
-def masked(line: Column) -> Column:
-    """A line with single spaces between its words and variable-looking words replaced. The patterns run only on lines
-    that need them."""
-    trimmed = F.btrim(line, F.lit("\t\n\x0b\x0c\r "))
-    odd = F.rlike(trimmed, F.lit(r"[\x09-\x0D]|  "))
-    spaced = F.when(odd, F.regexp_replace(trimmed, r"[\x09-\x0D\x20]+", " ")).otherwise(trimmed)
-    return F.when(F.rlike(spaced, F.lit("[0-9]")), F.regexp_replace(spaced, VARIABLE, WILD)).otherwise(spaced)
+def masked(lines: Column) -> Column:
+    """Lines with single spaces between their words and variable-looking words replaced. The patterns run only on lines
+    that need them, and each step is an array of its own, so no line is worked on twice."""
+
+    def where_needed(pattern: str, change) -> None:
+        nonlocal lines
+        lines = F.transform(lines, lambda x: F.when(F.rlike(x, F.lit(pattern)), change(x)).otherwise(x))
+
+    lines = F.transform(lines, lambda x: F.btrim(x, F.lit("\t\n\x0b\x0c\r ")))
+    where_needed(r"[\x09-\x0D]|  ", lambda x: F.regexp_replace(x, r"[\x09-\x0D\x20]+", " "))
+    where_needed("[0-9]", lambda x: F.regexp_replace(x, VARIABLE, WILD))
+    return lines
 
 
 def text_key(text: str) -> Column:
@@ -48,9 +53,8 @@ def text_key(text: str) -> Column:
 def masked_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """``key, pos, line, words``: one row per masked line with enough words."""
     rows = docs.where(F.col(text).isNotNull()).select(
-        text_key(text).alias("key"), F.posexplode(F.split(text, "\n")).alias("pos", "_line")
+        text_key(text).alias("key"), F.posexplode(masked(F.split(text, "\n"))).alias("pos", "line")
     )
-    rows = rows.select("key", "pos", masked(F.col("_line")).alias("line"))
     words = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     return rows.withColumn("words", words).where(F.col("words") >= MIN_WORDS)
 

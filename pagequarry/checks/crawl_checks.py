@@ -99,7 +99,7 @@ def depths(spark, sf_dir):
     """Hops of every page of the page tree from its root."""
     tree = page_tree(spark, sf_dir)
     links = written(site_links(tree, netloc("abs_url")).select("url", "abs_url"), "tree-links")
-    return crawl_depth(links, tree.where(F.col("node") == 0).select("url"), 64)
+    return crawl_depth(links, tree.where(F.col("node") == 0).select("url"))
 
 
 def queue_roundtrip(spark, sf_dir):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 # Fixed values. A token is a run of at least three Unicode letters, numbers or underscores.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{3,}"
 # Whitespace in the Unicode sense, with the four separator controls that Java's \s leaves out.
-SPACE_CLASS = r"[\s\x1c-\x1f]"
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 MARKUP_PATTERN = r"<[^<]+?>"
 
 
@@ -17,8 +17,8 @@ def tokens(text) -> Column:
 
 
 def strip_space(text) -> Column:
-    """Cut Unicode whitespace at both ends (Spark's ``trim`` cuts spaces only)."""
-    return F.regexp_replace(text, rf"(?U)^{SPACE_CLASS}+|{SPACE_CLASS}+\z", "")
+    """Cut Unicode whitespace at both ends (Spark's ``trim`` cuts spaces only), in time linear in the text."""
+    return F.btrim(text, F.lit(SPACES))
 
 
 def unix_newlines(text) -> Column:

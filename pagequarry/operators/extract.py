@@ -21,6 +21,14 @@ FIELD_RULES = {
     "status": r"<dt.*>\s*Status\s*</dt>\s*<dd .*>\s*(.*)\s*<span",
     "type": r"<dt.*>\s*Type\s*</dt>\s*<dd.*>\s*(.*)\s*<i",
 }
+# A rule whose group repeats, as a block and what each of its lines must be: the last line's group 1 is the value. A
+# repeated group costs the pattern engine stack for every repetition, and a long list would end the process.
+REPEATED_RULES = {
+    FIELD_RULES["contry"]: (
+        r"<dt.*>\s*(?:Country|Countries)\s*</dt>\s*<dd .*>([\s\S]*?)\s*</dd>",
+        r"^\s*<a.*?>(.+)</a>\s*$",
+    ),
+}
 # Fields freed from markup, and the class of pages that hold records.
 MARKUP_FIELDS = ("description",)
 RECORD_PATHS = r"^(list|tentative|former-tentative|in-danger).+/index.html"
@@ -40,8 +48,16 @@ def extract_fields(
     others = [c for c in pages.columns if c != html]
     text = pages.select(*others, unix_newlines(F.col(html)).alias("_text"))
 
+    def value_of(pattern: str):
+        if pattern not in REPEATED_RULES:
+            return first_group("_text", pattern)
+        block, item = REPEATED_RULES[pattern]
+        lines = F.filter(F.split(first_group("_text", block), "\n"), lambda x: strip_space(x) != "")
+        sound = F.forall(lines, lambda x: F.rlike(x, F.lit(python_pattern(item))))
+        return F.when(sound, F.coalesce(first_group(F.try_element_at(lines, F.lit(-1)), item), F.lit(""))).otherwise("")
+
     def field(name: str, pattern: str):
-        value = strip_space(first_group("_text", pattern))
+        value = strip_space(value_of(pattern))
         return (strip_markup(value) if name in markup_fields else value).alias(name)
 
     return text.select(*others, *[field(name, pattern) for name, pattern in rules.items()])

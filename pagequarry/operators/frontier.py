@@ -6,13 +6,14 @@ A level is a few joins, and it gives exactly what a first-in first-out queue giv
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.url import cut_fragment
 from ..plans.joins import fits_broadcast, keys_among, lookup_join
-from ..plans.ordering import HEAP_ROWS, first_rows, number_rows
+from ..plans.ordering import first_rows, number_rows
 from ..plans.storage import written
 from .links import site_links
 from .robots import drop_disallowed, flag_disallowed
@@ -96,10 +97,12 @@ def next_frontier(
     """
 
     def links_of(fetched: DataFrame) -> DataFrame:
-        # within the heap bound the few fetched URLs go to the pages, and whole pages stay where they are
-        few = F.broadcast(fetched) if budget <= HEAP_ROWS else fetched
-        html = pages.select("url", "html").join(few, "url")
-        return drop_disallowed(site_links(html, site), rules, "abs_url")
+        # whole pages stay where they are: the fetched URLs go to them, or their narrow links to the fetched URLs
+        if fits_broadcast(fetched):
+            html = pages.select("url", "html").join(F.broadcast(fetched), "url")
+            return drop_disallowed(site_links(html, site), rules, "abs_url")
+        links = site_links(pages.select("url", "html"), site).select("url", "pos", "abs_url")
+        return drop_disallowed(links.join(fetched, "url"), rules, "abs_url")
 
     return _step(flag_disallowed(frontier, rules, "url"), visited, pages, budget, links_of)
 
@@ -144,8 +147,8 @@ def crawl_summary(visited: DataFrame, frontier: DataFrame) -> DataFrame:
     ).withColumn("urls_remaining", frontier.agg(F.count(F.lit(1))).scalar())
 
 
-def crawl_depth(links: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
-    """``url, depth``: hops from the seeds over ``links(url, abs_url)``, up to ``max_depth``.
+def crawl_depth(links: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """``url, depth``: hops from the seeds over ``links(url, abs_url)``, up to ``max_depth`` where one is given.
 
     One join, one distinct and one anti-join per level. Every level is a written table, so plans stay short and a
     lost executor repeats at most one level. The level is broadcast only while it fits. Each level reads ``links``,
@@ -154,7 +157,7 @@ def crawl_depth(links: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame
     edges = links.select("url", cut_fragment("abs_url").alias("_to"))
     level = written(seeds.select("url").distinct().withColumn("depth", F.lit(0).cast("bigint")), "depth")
     reached = level
-    for depth in range(1, max_depth + 1):
+    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
         step = (
             lookup_join(edges, level.select("url"), "url", spread_by="_to")
             .select(F.col("_to").alias("url"))

@@ -103,7 +103,7 @@ class Searcher:
             return table
         kept = table.where(F.col("term").isin(list(literals)))
         if self.index.buckets:
-            kept = kept.where(F.col("bucket").isin(sorted(set(literals.values()))))
+            kept = kept.where(F.col("_bucket").isin(sorted(set(literals.values()))))
         return kept
 
     # -- scoring ------------------------------------------------------------------------------------------
@@ -212,13 +212,16 @@ class Searcher:
         folders and row groups; a long one is broadcast while it fits, and beyond that hot documents are split.
         """
         settled = written(results, "results")
-        docs = self.index.docs.drop("bucket")
+        # metadata named like a result column keeps its values under a name of its own
+        clashing = {c: f"doc_{c}" for c in settled.columns if c in self.index.docs.columns and c != "doc_id"}
+        stored = self.index.docs.withColumnsRenamed(clashing)
+        docs = stored.drop("_bucket")
         folder = bucket_of("doc_id", self.index.buckets or 1)
         ids = settled.select("doc_id", folder.alias("folder")).distinct().limit(LITERAL_TERMS + 1).collect()
         if len(ids) <= LITERAL_TERMS:
-            docs = self.index.docs.where(F.col("doc_id").isin([r.doc_id for r in ids]))
+            docs = stored.where(F.col("doc_id").isin([r.doc_id for r in ids]))
             if self.index.buckets:
-                docs = docs.where(F.col("bucket").isin(sorted({r.folder for r in ids}))).drop("bucket")
+                docs = docs.where(F.col("_bucket").isin(sorted({r.folder for r in ids}))).drop("_bucket")
         if fits_broadcast(settled):
             return docs.join(F.broadcast(settled), "doc_id")
         return hot_split_join(settled, docs, "doc_id", "inner", "query_id")

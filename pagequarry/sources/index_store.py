@@ -26,8 +26,8 @@ BUILD_SCHEMA = "build string, fields array<string>, buckets int, docs_schema str
 MANIFEST_SCHEMA = f"{BUILD_SCHEMA}, built_at timestamp"
 # Column types of the tables; those of the metadata depend on the documents and lie in the manifest.
 SCHEMAS = {
-    "postings": "term string, doc_id bigint, tf bigint, doc_len bigint, bucket int",
-    "term_df": "term string, df bigint, occurrences bigint, bucket int",
+    "postings": "term string, doc_id bigint, tf bigint, doc_len bigint, _bucket int",
+    "term_df": "term string, df bigint, occurrences bigint, _bucket int",
     "doc_lengths": "doc_id bigint, doc_len bigint",
     "corpus_stats": "total_docs bigint, total_unique_terms bigint, indexed_fields array<string>",
 }
@@ -35,10 +35,10 @@ SCHEMAS = {
 
 def _write_bucketed(df: DataFrame, key: str, spread_by: str, order: list[str], buckets: int, path: str) -> None:
     (
-        df.withColumn("bucket", bucket_of(key, buckets))
-        .repartition("bucket", F.pmod(F.hash(spread_by), F.lit(SALTS)))
-        .sortWithinPartitions("bucket", *order)
-        .write.partitionBy("bucket")
+        df.withColumn("_bucket", bucket_of(key, buckets))
+        .repartition("_bucket", F.pmod(F.hash(spread_by), F.lit(SALTS)))
+        .sortWithinPartitions("_bucket", *order)
+        .write.partitionBy("_bucket")
         .parquet(path)
     )
 
@@ -48,7 +48,7 @@ def save_index(index: SearchIndex, path: str, buckets: int = BUCKETS) -> SearchI
     spark = index.postings.sparkSession
     build = uuid.uuid4().hex
     root = f"{path}/builds/{build}"
-    docs_schema = index.docs.withColumn("bucket", F.lit(0)).schema.json()
+    docs_schema = index.docs.withColumn("_bucket", F.lit(0)).schema.json()
     _write_bucketed(index.postings, "term", "doc_id", ["term", "doc_id"], buckets, f"{root}/postings")
     totals = term_totals(_table(spark, root, "postings"))
     _write_bucketed(totals, "term", "term", ["term"], buckets, f"{root}/term_df")
@@ -76,7 +76,9 @@ def _open_build(spark: SparkSession, path: str, build: str, fields, buckets: int
 def _newest_build(spark: SparkSession, path: str):
     try:
         manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/manifest")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return manifest.orderBy(F.desc("built_at"), "build").first()
 

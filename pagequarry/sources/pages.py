@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 from ..functions.text import strip_space
 from ..functions.url import page_rel_path
 from ..operators.frontier import queue_of
+from ..plans.joins import fits_broadcast
+from ..plans.storage import written
 
 # Columns of the download log.
 LOG_SCHEMA = "url string, downloaded_at string, filesize_bytes bigint, filepath_saved string"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-CSV = {"header": True, "quote": '"', "escape": '"'}
+CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,12 +55,16 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 def latest_pages(pages: DataFrame, order: list[str]) -> DataFrame:
     """One row per ``filepath_saved``: the last one by ``order``, which must make rows of a path distinct.
 
-    The winners are found on the narrow columns with map-side maxima, so a path that much of the corpus shares
-    is never gathered. Whole pages move once, in the semi-join, and only to their winner.
+    Winners and losers are found on the narrow columns, with map-side maxima. The losers are few; they are sent to the
+    pages while they are measured to fit, and then no whole page moves.
     """
-    winner = pages.groupBy("filepath_saved").agg(F.max(F.struct(*order)).alias("_last"))
-    keys = winner.select("filepath_saved", *[F.col(f"_last.{c}").alias(c) for c in order])
-    return pages.join(keys.hint("shuffle_hash"), ["filepath_saved", *order], "left_semi")
+    narrow = pages.select("filepath_saved", *order)
+    winner = narrow.groupBy("filepath_saved").agg(F.max(F.struct(*order)).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    several = winner.where(F.col("_n") > 1).select("filepath_saved", "_last")
+    losers = narrow.join(several, "filepath_saved").where(F.struct(*order) < F.col("_last"))
+    losers = written(losers.select("filepath_saved", *order), "overwritten")
+    side = F.broadcast(losers) if fits_broadcast(losers) else losers
+    return pages.join(side, ["filepath_saved", *order], "left_anti")
 
 
 def path_collisions(pages: DataFrame, order: list[str]) -> DataFrame:

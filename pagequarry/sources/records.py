@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.extract import FIELD_RULES
 
 COLUMNS = ("url", *FIELD_RULES)
-CSV = {"header": True, "quote": '"', "escape": '"'}
+CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def write_records(records: DataFrame, path: str) -> bool:
@@ -19,7 +19,7 @@ def write_records(records: DataFrame, path: str) -> bool:
     return True
 
 
-def read_records(spark: SparkSession, path: str, columns: Sequence[str] = COLUMNS) -> DataFrame:
-    """Records with the given columns; a missing path raises."""
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.schema(schema).options(**CSV).option("multiLine", True).csv(path).na.fill("")
+def read_records(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Records as strings, by the names in the header: all columns, or the given ones; a missing path raises."""
+    found = spark.read.options(**CSV).option("multiLine", True).csv(path)
+    return found.select(*[f"`{c}`" for c in columns or found.columns]).na.fill("")

@@ -164,7 +164,7 @@ def test_whole_crawl_equals_the_queue_loop(spark, seed, budget):
 
 
 def test_a_large_budget_is_cut_by_numbering(spark, monkeypatch):
-    monkeypatch.setattr(frontier_module, "HEAP_ROWS", 1)
+    monkeypatch.setattr(frontier_module, "fits_broadcast", lambda df, limit=0: False)
     monkeypatch.setattr(ordering, "HEAP_ROWS", 1)
     site = site_of(4)
     pages, frontier, rules = tables(spark, site, SEEDS)

@@ -16,15 +16,19 @@ def con():
     return duck(SMALL)
 
 
+# the optional corpus queries have tests of their own
+CORE = [name for checks in entry.CHECKS if ".llm." not in checks.__name__ for name in checks.QUERIES]
+
+
 def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert set(CORE) <= entry.oracle_sql().keys()
 
 
 def test_the_flagship_has_ten_rows(spark):
     assert entry.entry(spark).count() == 10
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", CORE)
 def test_rows_equal_the_sql(spark, con, name):
     equal, _, message = compare(spark, con, SMALL, name, entry.queries()[name], entry.oracle_sql()[name])
     assert equal, message

@@ -1,6 +1,6 @@
 """Arrow batches inside tasks: cut to a bounded number of text bytes, columns replaced or added by name."""
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,29 +28,34 @@ def pieces(batch: pa.RecordBatch, text: str | None = None, limit: int = PIECE_BY
     yield batch.slice(start)
 
 
-def with_columns(batch: pa.RecordBatch, added: dict[str, pa.Array]) -> pa.RecordBatch:
-    """The batch with columns of the given names replaced or added at the end."""
-    columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)} | added
+def with_columns(batch: pa.RecordBatch, added: dict[str, pa.Array], without: Collection[str] = ()) -> pa.RecordBatch:
+    """The batch with columns of the given names replaced or added at the end, and others left out."""
+    columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names) if name not in without} | added
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def schema_with(df: DataFrame, added: dict[str, T.DataType]) -> T.StructType:
+def schema_with(df: DataFrame, added: dict[str, T.DataType], without: Collection[str] = ()) -> T.StructType:
     """Schema of ``with_columns`` for a frame."""
-    fields = {f.name: f.dataType for f in df.schema.fields} | added
+    fields = {f.name: f.dataType for f in df.schema.fields if f.name not in without} | added
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
 def add_columns(
-    df: DataFrame, text: str | None, added: dict[str, T.DataType], make: Callable[[pa.RecordBatch], dict[str, pa.Array]]
+    df: DataFrame,
+    text: str | None,
+    added: dict[str, T.DataType],
+    make: Callable[[pa.RecordBatch], dict[str, pa.Array]],
+    without: Collection[str] = (),
 ) -> DataFrame:
-    """Map ``make`` over slices of the frame's batches; it gives the arrays of the columns to add or replace."""
+    """Map ``make`` over slices of the frame's batches; it gives the arrays of the columns to add or replace. Columns
+    in ``without`` are read but do not come back."""
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, text):
-                yield with_columns(piece, make(piece))
+                yield with_columns(piece, make(piece), without)
 
-    return map_batches(df, run, schema_with(df, added))
+    return map_batches(df, run, schema_with(df, added, without))
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:

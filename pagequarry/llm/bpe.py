@@ -16,6 +16,7 @@ import json
 import re
 import struct
 import unicodedata
+from collections.abc import Collection
 from functools import lru_cache
 
 import ahocorasick
@@ -234,26 +235,35 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     return add_columns(encoded, None, {out: T.StringType()}, make)
 
 
-def round_trip(docs: DataFrame, path: str, text: str = "text", keep: bool = True) -> DataFrame:
-    """Encode and decode each whole text in one pass: adds ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, with
-    ``keep``, ``ids`` and ``decoded`` themselves; without it the text goes too."""
+def round_trip(
+    docs: DataFrame, path: str, text: str = "text", outputs: Collection[str] = ("ids", "decoded"), keep_text: bool = True
+) -> DataFrame:
+    """Encode and decode each whole text in one pass: adds ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, of
+    ``ids`` and ``decoded``, those in ``outputs``. Without ``keep_text`` the text does not come back from the tasks."""
     spec = read_spec(path)
     added = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
-    if keep:
-        added |= {"ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType()}
+    added |= {"ids": T.ArrayType(T.IntegerType())} if "ids" in outputs else {}
+    added |= {"decoded": T.StringType()} if "decoded" in outputs else {}
 
     def make(batch):
         coder = tokenizer(spec)
-        ids = [coder.encode(t) for t in texts_of(batch, text)]
-        decoded = [coder.decode(np.frombuffer(r, dtype="<u4")) for r in ids]
+        encoded, digests, decoded = [], [], []
+        for value in texts_of(batch, text):
+            ids = coder.encode(value)
+            again = coder.decode(np.frombuffer(ids, dtype="<u4"))
+            encoded.append(ids)
+            digests.append(hashlib.sha256(again.encode()).hexdigest())
+            if "decoded" in outputs:
+                decoded.append(again)
         columns = {
-            "n_tokens": pa.array([len(r) // 4 for r in ids], pa.int64()),
-            "ids_sha256": pa.array([hashlib.sha256(r).hexdigest() for r in ids], pa.string()),
-            "decoded_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string()),
+            "n_tokens": pa.array([len(r) // 4 for r in encoded], pa.int64()),
+            "ids_sha256": pa.array([hashlib.sha256(r).hexdigest() for r in encoded], pa.string()),
+            "decoded_sha256": pa.array(digests, pa.string()),
         }
-        if keep:
-            columns |= {"ids": _lists(ids), "decoded": pa.array(decoded, pa.string())}
+        if "ids" in outputs:
+            columns["ids"] = _lists(encoded)
+        if "decoded" in outputs:
+            columns["decoded"] = pa.array(decoded, pa.string())
         return columns
 
-    out = add_columns(docs, text, added, make)
-    return out if keep else out.drop(text)
+    return add_columns(docs, text, added, make, () if keep_text else (text,))

@@ -34,7 +34,7 @@ def op1_embedding_graph(spark, sf_dir):
 def op2_bpe(spark, sf_dir):
     """Every whole text encoded and decoded, as digests."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return bpe.round_trip(docs, vocabulary(), keep=False)
+    return bpe.round_trip(docs, vocabulary(), outputs=(), keep_text=False)
 
 
 def op3_language(spark, sf_dir):

@@ -60,7 +60,7 @@ def test_tokens_are_those_of_the_library(docs, library):
         ids = library.encode(row["text"] or "", add_special_tokens=False).ids
         assert row["ids"] == ids
         assert row["decoded"] == library.decode(ids, skip_special_tokens=False) == (row["text"] or "")
-    short = bpe.round_trip(docs, PATH, keep=False)
+    short = bpe.round_trip(docs, PATH, outputs=(), keep_text=False)
     assert "text" not in short.columns and short.where("doc_id = 1").first()["n_tokens"] == 0
     assert bpe.encode(docs.limit(0), PATH).count() == 0
 

@@ -44,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids; the decoded text is kept as a digest."""
-    return bpe.round_trip(docs, vocabulary()).drop("decoded")
+    return bpe.round_trip(docs, vocabulary(), outputs=("ids",))
 
 
 STAGES = [

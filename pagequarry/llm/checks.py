@@ -9,6 +9,7 @@ from . import (
     langid,
     line_dedup,
     mixing,
+    oracle,
     surrogates,
     token_trees,
     url_filter,
@@ -108,4 +109,4 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_url_filter": op10_url_filter,
 }
-SQL = {}
+SQL = oracle.SQL

@@ -23,7 +23,7 @@ from ..plans.storage import written
 
 MIN_TEXTS = 5
 MIN_WORDS = 3
-LEADING = 5
+LEADING = 3
 # shares of a leaf's template that must be fixed, and of the fixed words a line must agree with
 FIXED, AGREE = 0.6, 0.8
 MAJORITY = 0.5

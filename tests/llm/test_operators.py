@@ -139,6 +139,15 @@ def test_recurring_lines_go_and_others_stay(spark):
     assert kept[50]["n_dropped"] == 0 and kept[60]["text"] is None and (kept[61]["text"], kept[61]["n_lines"]) == ("", 1)
 
 
+def test_lines_that_differ_in_the_fourth_or_fifth_word_are_one_template(spark):
+    words = "alpha beta gamma delta epsilon".split()
+    fourth, fifth = "please note that {} is closed for the season", "all guests of the {} are asked to wait"
+    rows = [(i, f"{prose(i, 12)}\n{fourth.format(w)}\n{fifth.format(w)}") for i, w in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in line_dedup.drop_recurring_lines(docs).collect():
+        assert (r["text"], r["n_dropped"]) == (prose(r["doc_id"], 12), 2)
+
+
 def brute_sets(text):
     words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     if len(words) < 5:

@@ -28,7 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without recurring lines; ``n_chars`` is that of the new text."""
-    kept = line_dedup.drop_recurring_lines(docs).select(*docs.columns)
+    kept = line_dedup.drop_recurring_lines(docs, min_words=1).select(*docs.columns)
     return kept.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else kept
 
 

@@ -54,7 +54,7 @@ def op4_surrogates(spark, sf_dir):
 
 def op5_line_dedup(spark, sf_dir):
     """Every document without its recurring lines, as counts and a digest."""
-    kept = line_dedup.drop_recurring_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    kept = line_dedup.drop_recurring_lines(documents(spark, sf_dir).select("doc_id", "text"), min_words=1)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 

@@ -10,7 +10,11 @@ Exact copies of a text count once, so copies do not make their own lines recur.
 map-side combining; words are only looked at in leaves that recur. Documents stay where they are: what is dropped is a
 list of line numbers per text, sent to the documents when it is measured to fit, else joined.
 
-Edge cases: null text stays null and has 0 lines; blank lines and those with fewer than ``MIN_WORDS`` words are never
+Short lines, of fewer than ``MIN_WORDS`` words, recur only as the same masked line. One that would be all wildcards is
+compared as it is written: numbers are no copies of each other, nor are lines of a script without spaces that hold a digit.
+Whoever calls can leave out lines with fewer than ``min_words`` words; 1 leaves out none but blank ones.
+
+Edge cases: null text stays null and has 0 lines; blank lines and those with fewer than ``min_words`` words are never
 dropped; repeated rows are treated alike; all columns but the text pass through; an empty table gives an empty result.
 """
 
@@ -29,6 +33,8 @@ FIXED, AGREE = 0.6, 0.8
 MAJORITY = 0.5
 VARIABLE = r"[^ ]*[0-9][^ ]*"
 WILD = "<*>"
+_WORD = "[^ 0-9]*+[0-9][^ ]*+"
+SHORT_AND_VARIABLE = rf"^{_WORD}(?: {_WORD}){{0,{MIN_WORDS - 2}}}$"
 
 
 def masked(lines: Column) -> Column:
@@ -41,7 +47,8 @@ def masked(lines: Column) -> Column:
 
     lines = F.transform(lines, lambda x: F.btrim(x, F.lit("\t\n\x0b\x0c\r ")))
     where_needed(r"[\x09-\x0D]|  ", lambda x: F.regexp_replace(x, r"[\x09-\x0D\x20]+", " "))
-    where_needed("[0-9]", lambda x: F.regexp_replace(x, VARIABLE, WILD))
+    whole = lambda x: F.rlike(x, F.lit(SHORT_AND_VARIABLE))
+    where_needed("[0-9]", lambda x: F.when(whole(x), x).otherwise(F.regexp_replace(x, VARIABLE, WILD)))
     return lines
 
 
@@ -50,23 +57,26 @@ def text_key(text: str) -> Column:
     return F.unhex(F.md5(F.col(text)))
 
 
-def masked_lines(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``key, pos, line, words``: one row per masked line with enough words."""
+def masked_lines(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``key, pos, line, words``: one row per masked line that is not blank and has enough words."""
     rows = docs.where(F.col(text).isNotNull()).select(
         text_key(text).alias("key"), F.posexplode(masked(F.split(text, "\n"))).alias("pos", "line")
     )
     words = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    return rows.withColumn("words", words).where(F.col("words") >= MIN_WORDS)
+    # only a short line can be blank
+    shown = (F.col("words") >= MIN_WORDS) | F.rlike("line", F.lit(r"(?U)\S"))
+    return rows.withColumn("words", words).where((F.col("words") >= min_words) & shown)
 
 
 def template_of() -> Column:
     return F.xxhash64("line", "words").alias("template")
 
 
-def parsed_lines(docs: DataFrame, text: str = "text") -> DataFrame:
+def parsed_lines(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``key, pos, template, leaf``: digests of the text, the masked line, and its number of words with the leading ones."""
     leading = F.substring_index("line", " ", LEADING)
-    return masked_lines(docs, text).select("key", "pos", template_of(), F.xxhash64(leading, "words").alias("leaf"))
+    rows = masked_lines(docs, text, min_words)
+    return rows.select("key", "pos", template_of(), F.xxhash64(leading, "words").alias("leaf"))
 
 
 def recurring_templates(docs: DataFrame, lines: DataFrame, text: str, min_texts: int = MIN_TEXTS) -> DataFrame:
@@ -81,7 +91,7 @@ def recurring_templates(docs: DataFrame, lines: DataFrame, text: str, min_texts:
     leaves = leaves.where((F.col("texts") >= min_texts) & (F.col("kinds") > 1)).select("leaf")
     wanted = written(counted.join(leaves, "leaf").select("template", F.col("leaf").alias("_leaf"), "texts"), "wanted")
     side = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
-    # only the lines of these leaves are shuffled, one for each template
+    # only the lines of these leaves are shuffled, one for each template; a short line is the only one of its leaf
     shown = masked_lines(docs, text).select(template_of(), "line").join(side, "template").distinct()
     words = shown.select("template", "_leaf", "texts", F.posexplode(F.split("line", " ")).alias("place", "word"))
     words = written(words, "line-words")
@@ -111,18 +121,20 @@ def recurring_templates(docs: DataFrame, lines: DataFrame, text: str, min_texts:
     return by_itself.unionByName(general).distinct()
 
 
-def dropped_lines(docs: DataFrame, text: str = "text", min_texts: int = MIN_TEXTS) -> DataFrame:
+def dropped_lines(docs: DataFrame, text: str = "text", min_texts: int = MIN_TEXTS, min_words: int = MIN_WORDS) -> DataFrame:
     """``key, dropped``: line numbers to drop, for the texts that have any."""
-    lines = written(parsed_lines(docs, text), "parsed-lines")
+    lines = written(parsed_lines(docs, text, min_words), "parsed-lines")
     templates = written(recurring_templates(docs, lines, text, min_texts), "recurring")
     found = lines.select("key", "pos", "template")
     hit = found.join(F.broadcast(templates) if fits_broadcast(templates) else templates, "template")
     return hit.groupBy("key").agg(F.collect_set("pos").alias("dropped"))
 
 
-def drop_recurring_lines(docs: DataFrame, text: str = "text", min_texts: int = MIN_TEXTS) -> DataFrame:
+def drop_recurring_lines(
+    docs: DataFrame, text: str = "text", min_texts: int = MIN_TEXTS, min_words: int = MIN_WORDS
+) -> DataFrame:
     """The documents without their recurring lines; adds ``n_lines`` and ``n_dropped``."""
-    dropped = written(dropped_lines(docs, text, min_texts), "dropped-lines")
+    dropped = written(dropped_lines(docs, text, min_texts, min_words), "dropped-lines")
     others = [c for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
     keyed = docs.select(*others, F.col(text), text_key(text).alias("_key"))
     narrow = dropped.select(F.col("key").alias("_key"), "dropped")

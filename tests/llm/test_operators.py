@@ -148,6 +148,16 @@ def test_lines_that_differ_in_the_fourth_or_fifth_word_are_one_template(spark):
         assert (r["text"], r["n_dropped"]) == (prose(r["doc_id"], 12), 2)
 
 
+def test_short_lines_and_lines_without_spaces_recur_too(spark):
+    same = ["Les.", "And ornd.", "本页内容仅供参考", "共有3个结果", "page {}"]
+    rows = [(i, "\n".join([prose(i, 12), *same, f"{i}", f"{i} {i + 1}", f"第{i}章", "\u3000"]).format(i)) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in line_dedup.drop_recurring_lines(docs, min_words=1).collect():
+        i = r["doc_id"]
+        # numbers alone, numbered Chinese lines and blank lines are no copies of each other
+        assert r["text"] == "\n".join([prose(i, 12), f"{i}", f"{i} {i + 1}", f"第{i}章", "\u3000"]) and r["n_dropped"] == len(same)
+
+
 def brute_sets(text):
     words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     if len(words) < 5:

@@ -30,7 +30,8 @@ from .arrow import add_columns, pieces, texts_of
 from .shipping import map_batches
 
 ROUNDS = 6
-NUMBER = re.compile(r"[0-9+(][0-9 ().+-]{5,40}[0-9]")
+# a whole run, however long, so that no number is cut; each character is looked at once
+NUMBER = re.compile(r"[0-9+(][0-9 ().+-]{6,}")
 NUMBERS = (
     ("ip", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)")),
     ("phone", re.compile(r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<!\d)\d{3}[-.]\d{3}[-.]\d{4}(?!\d)")),

@@ -292,6 +292,22 @@ def test_surrogates_are_consistent_and_distinct(spark):
     assert len(new) == 3_000
 
 
+def test_numbers_in_long_rows_are_all_found():
+    lists = {
+        "card": [f"4111 1111 1111 {n}" for n in range(1111, 1151)],
+        "phone": [f"+49 30 1234 {n}" for n in range(5678, 5718)],
+        "ip": [f"10.0.0.{n}" for n in range(40)],
+        "id": [f"123-45-{n}" for n in range(6789, 6829)],
+    }
+    for kind, numbers in lists.items():
+        for gap in (" ", "  ", " - ", ". "):
+            text = gap.join(numbers)
+            found = surrogates.find_entities(text)
+            assert [(text[a:b], k) for a, b, k, _ in found] == [(n, kind) for n in numbers]
+    for rule in ("+-" * 50_000, "(" * 100_000, "1 " * 50_000):
+        assert surrogates.find_entities(rule) == []
+
+
 def test_colliding_surrogates_are_resolved(spark):
     names = [("person-f", f"anna {c}o") for c in "bcdfghjklmnpqrstvwxyz"] + [("person-f", f"{g} bo") for g in "ab ac ad ae af ag ah ai ak".split()]
     entities = spark.createDataFrame(names, "kind string, canonical string")

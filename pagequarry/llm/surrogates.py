@@ -30,6 +30,8 @@ from .arrow import add_columns, pieces, texts_of
 from .shipping import map_batches
 
 ROUNDS = 6
+# characters that are permuted at once; of longer texts the numbers would get too large
+BLOCK = 200
 # a whole run, however long, so that no number is cut; each character is looked at once
 NUMBER = re.compile(r"[0-9+(][0-9 ().+-]{6,}")
 NUMBERS = (
@@ -40,9 +42,10 @@ NUMBERS = (
 )
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
 DOMAIN = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})\.){1,8}[A-Za-z]{2,24}")
-ASSIGNED = re.compile(r"[:=]\s{0,3}[\"']?([^\s\"':=,;]{6,200})")
+ASSIGNED = re.compile(r"[:=]\s{0,3}[\"']?([^\s\"':=,;]{6,})")
 SECRET_NAME = re.compile(r"(?:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s{0,3}\Z", re.IGNORECASE)
-SECRET = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,255}|sk-[A-Za-z0-9_-]{20,200}")
+# not after a letter or digit, so that a refused match takes no real one along
+SECRET = re.compile(r"(?<![^\W_])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9_-]{20,})")
 IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 # Titles by the gender they tell.
 TITLES = {
@@ -80,6 +83,8 @@ def _pseudo(key: bytes, message: str, below: int) -> int:
 def permute(key: bytes, tweak: str, text: str, hexadecimal: bool = False) -> str:
     """A keyed one-to-one map of texts of one shape: each character goes to one of its own class, and characters of no
     class stay. Two halves of the changeable places take turns in shifting each other."""
+    if len(text) > BLOCK:
+        return _permute_blocks(key, tweak, text, hexadecimal)
     classes = [("0123456789abcdef" if hexadecimal and c in "0123456789abcdef" else _CLASS.get(c, "")) for c in text]
     places = [i for i, a in enumerate(classes) if a]
     shape = "".join("x" if hexadecimal and a == "0123456789abcdef" else a[0] if a else c for a, c in zip(classes, text, strict=True))
@@ -103,6 +108,20 @@ def permute(key: bytes, tweak: str, text: str, hexadecimal: bool = False) -> str
     return "".join(out)
 
 
+def _permute_blocks(key: bytes, tweak: str, text: str, hexadecimal: bool) -> str:
+    """``permute`` of a text of any length in linear time. Each block's map depends on all blocks before it, and a second
+    pass from the other end makes it depend on those after it; both passes are one-to-one."""
+    blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
+    for turn in range(2):
+        seen = hmac.new(key, f"blocks|{turn}|{len(text)}|{tweak}".encode(), "sha256")
+        out = []
+        for block in blocks:
+            out.append(permute(key, f"{tweak}|{seen.copy().hexdigest()}", block, hexadecimal))
+            seen.update(block.encode())
+        blocks = out[::-1]
+    return "".join(blocks)
+
+
 def _check_digit(digits: str) -> int:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -165,9 +184,7 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     for m in ASSIGNED.finditer(text):
         if SECRET_NAME.search(text, max(0, m.start() - 24), m.start()):
             found.append((m.start(1), m.end(1), "secret", m.group(1)))
-    for m in SECRET.finditer(text):
-        if not text[m.start() - 1 : m.start()].isalnum():
-            found.append((m.start(), m.end(), "secret", m.group()))
+    found += [(m.start(), m.end(), "secret", m.group()) for m in SECRET.finditer(text)]
     for m in NUMBER.finditer(text):
         for kind, pattern in NUMBERS:
             for hit in pattern.finditer(text, m.start(), m.end()):
@@ -215,7 +232,9 @@ def replace_entities(text: str, key: bytes, attempts: dict[tuple[str, str], int]
     """The text with surrogates, and the number of mentions."""
     parts, end, entities = [], 0, find_entities(text)
     for start, stop, kind, canonical in entities:
-        new = _kept_surrogate(kind, canonical, key, attempts.get((kind, canonical), 0))
+        # long ones would fill the memory if kept
+        made = _kept_surrogate if len(canonical) <= BLOCK else surrogate
+        new = made(kind, canonical, key, attempts.get((kind, canonical), 0))
         parts += [text[end:start], render(text[start:stop], kind, new)]
         end = stop
     return "".join([*parts, text[end:]]), len(entities)

@@ -308,6 +308,21 @@ def test_numbers_in_long_rows_are_all_found():
         assert surrogates.find_entities(rule) == []
 
 
+def test_secrets_of_any_length_are_replaced_to_their_end():
+    rng = np.random.default_rng(3)
+    for n in (150, 200, 201, 300, 1_000, 20_000):
+        body = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), n))
+        for before, value in (("token=", f"eyJ{body}.{body}.{body}"), ("", "ghp_" + body), ("task-", "sk-" + body)):
+            text, count = surrogates.replace_entities(f"see {before}{value} end", b"k", {})
+            new = text.removeprefix(f"see {before}").removesuffix(" end")
+            assert count == 1 and len(new) == len(value) and not any(value[i : i + 20] in new for i in range(len(value) - 19))
+    a, b = "a1" * 400 + "x", "a1" * 400 + "z"
+    new = [surrogates.surrogate("secret", value, b"k") for value in (a, b)]
+    assert new[0] != new[1] and new[0][:200] != new[1][:200]
+    # one-to-one: all texts that differ in one place of the last block
+    assert len({surrogates.permute(b"k", "t", f"{'9' * 198}{i:04d}") for i in range(3_000)}) == 3_000
+
+
 def test_colliding_surrogates_are_resolved(spark):
     names = [("person-f", f"anna {c}o") for c in "bcdfghjklmnpqrstvwxyz"] + [("person-f", f"{g} bo") for g in "ab ac ad ae af ag ah ai ak".split()]
     entities = spark.createDataFrame(names, "kind string, canonical string")

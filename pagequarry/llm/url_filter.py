@@ -50,8 +50,11 @@ def path_of(url: str) -> Column:
 
 
 def node_of(url: str) -> Column:
-    """A URL as a node of the link graph: without fragment; null where there is no ``://``."""
-    return F.when(F.contains(F.col(url), F.lit("://")), F.regexp_extract(F.col(url), r"(?s)^[^#]*", 0))
+    """A URL as a node of the link graph: without fragment, scheme and host in lower case; null where there is no ``://``."""
+    whole = F.regexp_extract(F.col(url), r"(?s)^[^#]*", 0)
+    head = F.regexp_extract(F.col(url), r"^[^/?#]*?://[^/?#]*", 0)
+    lowered = F.concat(F.translate(head, UPPER, LOWER), F.substring(whole, F.length(head) + 1, F.length(whole)))
+    return F.when(F.contains(F.col(url), F.lit("://")), lowered)
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

@@ -252,6 +252,19 @@ def test_urls_follow_rules_and_aliases(spark):
     assert found[8][2:] == ("com/", "allow") and found[9][2:] == (None, "allow")  # an alias is allowed outright
 
 
+def test_aliases_may_differ_in_the_case_of_scheme_and_host(spark):
+    blocked = '<link rel="canonical" href="http://blocked.net/es/a">'
+    pages = [
+        (1, "HTTP://WWW.Q.org/Ab#x", blocked),
+        (2, "http://r.org/x", '<link rel="canonical" href="http://www.q.org/Ab">'),
+        (3, "http://www.Q.org/Ab", None),
+        (4, "http://www.q.org/ab", None),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(df, url_filter.rule_table(spark)).collect()}
+    assert found == {1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
 def test_chains_and_stars_are_one_component(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(5, 5), (None, 3), (200, 201), (201, 200)]
     found = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}

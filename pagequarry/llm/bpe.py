@@ -31,7 +31,7 @@ from .arrow import add_columns, texts_of
 # Fixed value: how byte-level tokenizers of this family cut a text into pre-tokens.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = 1 << 31
-KEPT_PIECES = 100_000
+KEPT_PIECES = 150_000
 KEPT_PAIRS = 200_000
 KEPT_LENGTH = 48
 
@@ -43,46 +43,74 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def latin_pattern() -> re.Pattern:
-    """PRE_TOKENS for texts of Latin-1 characters: the same classes, written out for the faster standard library."""
-
-    def chars(wanted) -> str:
-        return "".join(re.escape(chr(c)) for c in range(256) if wanted(chr(c)))
-
-    letters = chars(lambda c: unicodedata.category(c)[0] == "L")
-    numbers = chars(lambda c: unicodedata.category(c)[0] == "N")
-    spaces = chars(lambda c: regex.match(r"\s", c))
+# First and last code points of the letters and numbers that Unicode 16 has added.
+LETTERS_16 = """
+1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B-1138B 1138E-1138E
+11390-113B5 113B7-113B7 113D1-113D1 113D3-113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF-18CFF 1E5D0-1E5ED
+1E5F0-1E5F0
+"""
+NUMBERS_16 = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+
+
+@lru_cache(maxsize=1)
+def character_classes() -> tuple[bytes, bytes]:
+    """For every code point, whether it is a letter and whether it is a number in Unicode 16, which the library goes by:
+    what Python's table of version 15.1 says, and the additions. White space has not changed."""
+    if unicodedata.unidata_version > "16":
+        raise ValueError("the character tables of this Python are newer than the tokenizer's")
+    letters, numbers = (bytearray(unicodedata.category(chr(c))[0] == kind for c in range(0x110000)) for kind in "LN")
+    for table, added in ((letters, LETTERS_16), (numbers, NUMBERS_16)):
+        for span in added.split():
+            first, last = (int(end, 16) for end in span.split("-"))
+            table[first : last + 1] = b"\1" * (last + 1 - first)
+    return bytes(letters), bytes(numbers)
+
+
+def _set_of(table: bytes) -> str:
+    """Marked code points as the inside of a character class."""
+    return "".join(
+        rf"\U{m.start():08x}" + (rf"-\U{m.end() - 1:08x}" if len(m[0]) > 1 else "") for m in re.finditer(b"\1+", table)
+    )
+
+
+def pre_token_pattern(last: int = 0x10FFFF) -> re.Pattern:
+    """PRE_TOKENS for texts of characters up to ``last``, with the classes written out."""
+    letters, numbers = (_set_of(table[: last + 1]) for table in character_classes())
+    spaces = _set_of(bytes(bool(regex.match(r"\s", chr(c))) for c in range(min(last, 0x3000) + 1)))
     pattern = PRE_TOKENS.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]")
     pattern = pattern.replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
     return re.compile(pattern.replace(r"(?!\S)", f"(?![^{spaces}])").replace(r"\s", f"[{spaces}]"))
 
 
-class _Bounded(dict):
-    """Results by key, forgotten all at once when there are too many; ``make`` fills in what is missing."""
+class Kept(dict):
+    """Results by key in two generations: when the young one is full it takes the place of the old one, and what is asked
+    for again moves back. So a bounded number is kept, and the frequent ones stay. ``make`` fills in what is missing."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
-
-    def __missing__(self, key):
-        value = self.make(key)
-        if len(self) >= self.limit:
-            self.clear()
-        self[key] = value
-        return value
-
-
-class _Pieces(_Bounded):
-    """Only short pre-tokens come again often enough to be kept."""
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
-        value = self.make(key.encode())
-        if len(key) <= KEPT_LENGTH:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if self.worth_keeping(key):
             if len(self) >= self.limit:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
 
+    def worth_keeping(self, key) -> bool:
+        return True
+
+
+class KeptTexts(Kept):
+    """Only short pieces of text come again often enough to be kept."""
+
+    def worth_keeping(self, key) -> bool:
+        return len(key) <= KEPT_LENGTH
+
 
 class Tokenizer:
     """Encoder and decoder of a byte-level tokenizer file (JSON text)."""
@@ -100,7 +128,7 @@ class Tokenizer:
         self.left, self.right = list(range(256)), list(range(256))
         self.ids = [vocab[single[bytes([b])]] for b in range(256)]
         self.joined: dict[tuple[int, int], int] = {}
-        self.compatible = _Bounded(lambda pair: self.neighbours(*divmod(pair, NEVER)), KEPT_PAIRS)
+        self.compatible = Kept(lambda pair: self.neighbours(*divmod(pair, NEVER)), KEPT_PAIRS)
         automaton = ahocorasick.Automaton()
         for b in range(256):
             automaton.add_word(chr(b), (b, 1))
@@ -132,8 +160,8 @@ class Tokenizer:
             self.bytes_of[number] = plain[token]
         for token, number in self.special.items():
             self.bytes_of[number] = token.encode()
-        self.pattern, self.latin = regex.compile(PRE_TOKENS), latin_pattern()
-        self.pieces = _Pieces(self.encode_piece, KEPT_PIECES)
+        self.pattern, self.latin = pre_token_pattern(), pre_token_pattern(0xFF)
+        self.pieces = KeptTexts(lambda piece: self.encode_piece(piece.encode()), KEPT_PIECES)
 
     def neighbours(self, left: int, right: int, before: int = NEVER) -> bool:
         """Whether merging the bytes of both tokens leaves the two side by side, with only merges older than

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and of the pipeline, with SQL where SQL can express them."""
+"""Registered queries of the operators, with SQL where SQL can express them."""
 
 from pyspark.sql import functions as F
 
@@ -10,6 +10,7 @@ from . import (
     line_dedup,
     mixing,
     oracle,
+    piece_bpe,
     surrogates,
     token_trees,
     url_filter,
@@ -21,10 +22,10 @@ def documents(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_embedding_graph(spark, sf_dir):
@@ -97,6 +98,12 @@ def op10_url_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_sentencepiece(spark, sf_dir):
+    """Every whole text encoded with begin and end ids and decoded, as digests."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return piece_bpe.round_trip(docs, vocabulary("piece_bpe_32k.model"), outputs=(), keep_text=False)
+
+
 QUERIES = {
     "op1_embedding_graph": op1_embedding_graph,
     "op2_bpe": op2_bpe,
@@ -108,5 +115,6 @@ QUERIES = {
     "op8_fingerprint": op8_fingerprint,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_url_filter": op10_url_filter,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 SQL = oracle.SQL

@@ -67,7 +67,10 @@ def test_tokens_are_those_of_the_library(docs, library):
 
 def test_pre_tokens_of_every_character_are_those_of_the_library(library):
     mine = bpe.Tokenizer(bpe.read_spec(PATH))
-    texts = [f"a{chr(c)} {chr(c)}{chr(c)}b 1{chr(c)}" for c in range(0x3000) if not 0xD800 <= c < 0xE000]
+    letters, numbers = bpe.character_classes()
+    kinds = [letters[c] + 2 * numbers[c] for c in range(0x110000)]
+    edges = {c + d for c in range(1, 0x110000) if kinds[c] != kinds[c - 1] for d in (-1, 0)}
+    texts = [f"a{chr(c)} {chr(c)}{chr(c)}b 1{chr(c)}'s" for c in sorted({*range(0x3000), *edges}) if not 0xD800 <= c < 0xE000]
     for text, right in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
         assert np.frombuffer(mine.encode(text), dtype="<u4").tolist() == right.ids
 

@@ -3,11 +3,13 @@
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     bpe,
     fingerprint,
     jaccard_join,
     langid,
     line_dedup,
+    manifest,
     mixing,
     oracle,
     piece_bpe,
@@ -98,6 +100,32 @@ def op10_url_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_manifest(spark, sf_dir):
+    """A proof for every document, and what a version says in which some of them are tampered with."""
+    docs = documents(spark, sf_dir).select("doc_id", "source", "lang", "n_chars", "text")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = [F.col("n_chars") + 1 if c == "n_chars" else c for c in fields]
+    touched = (F.crc32(F.col("doc_id").cast("string")) % 7 == 0) & F.col("n_chars").isNotNull()
+    built = manifest.build(docs, "doc_id", "lang", fields, F.when(touched, manifest.leaf_digest(tampered)))
+    root = F.lit(built.root)
+    return manifest.prove(built).select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        root.alias("root"),
+        "proof_sha256",
+        "folded_root",
+        (F.col("folded_root") == root).alias("verified"),
+    )
+
+
+def op12_alignment(spark, sf_dir):
+    """Tokens of two tokenizers aligned over every whole text, with corpus-wide counts of the id pairs that meet."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = alignment.cross_align(docs, vocabulary(), vocabulary("piece_bpe_32k.model"))
+    return found.select("doc_id", *alignment.RESULTS)
+
+
 def op13_sentencepiece(spark, sf_dir):
     """Every whole text encoded with begin and end ids and decoded, as digests."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -115,6 +143,8 @@ QUERIES = {
     "op8_fingerprint": op8_fingerprint,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_url_filter": op10_url_filter,
+    "op11_manifest": op11_manifest,
+    "op12_alignment": op12_alignment,
     "op13_sentencepiece": op13_sentencepiece,
 }
 SQL = oracle.SQL

@@ -109,4 +109,58 @@ LEFT JOIN parts ON contains(url, '://') AND parts.node = regexp_extract(url, '(?
 LEFT JOIN ruled ON parts.node = ruled.node LEFT JOIN by_alias ON parts.node = by_alias.node
 """
 
-SQL = {"op6_mixing": OP6, "op9_jaccard_join": OP9, "op10_url_filter": OP10}
+# Levels one by one; every leaf then walks up its group's tree and the tree of subroots. The checksum goes bit by bit.
+OP11 = r"""
+WITH RECURSIVE numbered AS (
+  SELECT *, row_number() OVER () AS rid, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END),
+    4294967295::BIGINT) AS crc FROM documents
+),
+fields AS (
+  SELECT rid, doc_id, coalesce('=' || lang, '-') AS g, crc % 7 = 0 AND n_chars IS NOT NULL AS touched,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS size,
+    coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') AS other_size,
+    coalesce(strlen(text) || ':' || text, '-') AS body FROM numbered
+),
+leaves AS MATERIALIZED (
+  SELECT rid, doc_id, g, sha256(head || size || body) AS leaf,
+    CASE WHEN touched THEN sha256(head || other_size || body) ELSE sha256(head || size || body) END AS start FROM fields
+),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY g) AS n FROM leaves
+),
+nodes(g, level, idx, n, h) AS (
+  SELECT g, 0, place, n, leaf FROM placed
+  UNION ALL SELECT g, level + 1, idx // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY idx))
+  FROM nodes WHERE n > 1 GROUP BY g, level, idx // 2
+),
+stored AS MATERIALIZED (SELECT * FROM nodes),
+subroots AS MATERIALIZED (
+  SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS place, count(*) OVER () AS n FROM stored WHERE n = 1
+),
+tops(level, idx, n, h) AS (
+  SELECT 0, place, n, h FROM subroots
+  UNION ALL SELECT level + 1, idx // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY idx))
+  FROM tops WHERE n > 1 GROUP BY level, idx // 2
+),
+stored_tops AS MATERIALIZED (SELECT * FROM tops),
+walk(rid, g, level, idx, n, h, proof) AS (
+  SELECT rid, g, 0, place, n, start, '' FROM placed
+  UNION ALL SELECT w.rid, w.g, w.level + 1, w.idx // 2, (w.n + 1) // 2,
+    sha256(CASE WHEN s.h IS NULL THEN w.h WHEN w.idx % 2 = 0 THEN w.h || s.h ELSE s.h || w.h END), w.proof || coalesce(s.h, '')
+  FROM walk w LEFT JOIN stored s ON s.g = w.g AND s.level = w.level AND s.idx = xor(w.idx, 1) WHERE w.n > 1
+),
+on_top(rid, level, idx, n, h, proof) AS (
+  SELECT rid, 0, place, subroots.n, walk.h, proof FROM walk JOIN subroots USING (g) WHERE walk.n = 1
+  UNION ALL SELECT w.rid, w.level + 1, w.idx // 2, (w.n + 1) // 2,
+    sha256(CASE WHEN s.h IS NULL THEN w.h WHEN w.idx % 2 = 0 THEN w.h || s.h ELSE s.h || w.h END), w.proof || coalesce(s.h, '')
+  FROM on_top w LEFT JOIN stored_tops s ON s.level = w.level AND s.idx = xor(w.idx, 1) WHERE w.n > 1
+)
+SELECT doc_id, leaf, subroots.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256, o.h AS folded_root, o.h = t.h AS verified
+FROM placed JOIN subroots USING (g) JOIN (SELECT * FROM on_top WHERE n = 1) o USING (rid), (SELECT h FROM stored_tops WHERE n = 1) t
+"""
+
+SQL = {"op6_mixing": OP6, "op9_jaccard_join": OP9, "op10_url_filter": OP10, "op11_manifest": OP11}

@@ -2,14 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.url import netloc
+from ..functions.url import netloc, url_path
 from ..operators.frontier import crawl, crawl_depth, crawl_summary, next_frontier
 from ..operators.links import extract_links, resolve_links, same_site, site_links
 from ..operators.robots import crawl_delays, drop_disallowed, parse_robots
 from ..plans.ordering import number_rows
 from ..plans.storage import fresh_path, written
-from ..sources.pages import read_queue, write_queue
-from .inputs import page_links_in_forms, page_tree, robots_texts, table
+from ..sources.pages import read_queue, read_robots, write_queue
+from .inputs import page_links_in_forms, page_tree, page_web, robots_texts, table
 
 BUDGET = 100
 FRONTIER_SCHEMA = "url string, seq bigint, status string"
@@ -47,6 +47,17 @@ def links_allowed(spark, sf_dir):
     return kept.select("page_id", "pos", "form", "abs_url")
 
 
+def links_looked_up(spark, sf_dir):
+    """Links none of whose beginnings is a path of the site's pages, by lookup: each page forbids its own path."""
+    links = resolve_links(page_links_in_forms(spark, sf_dir))
+    pages = table(spark, sf_dir, "pages")
+    paths = pages.select(netloc("url").alias("host"), F.lit("disallow").alias("kind"), F.regexp_replace(url_path("url"), "[^/]*$", "").alias("value"))
+    everywhere = pages.select(F.lit(None).cast("string").alias("host"), F.lit("disallow").alias("kind"), F.left(url_path("url"), F.lit(4)).alias("value"))
+    forbidden = paths.unionByName(everywhere.where(F.col("value").endswith("/") & (F.length("value") > 3)))
+    kept = drop_disallowed(links, forbidden.where(F.length("value") > 1), "abs_url", listed=0)
+    return kept.select("page_id", "pos", "form", "abs_url")
+
+
 def robots_rules(spark, sf_dir):
     """Rules of each host's robots text, in both modes."""
     robots = robots_texts(spark, sf_dir)
@@ -54,6 +65,15 @@ def robots_rules(spark, sf_dir):
     return modes[0].unionByName(modes[1])
 
 
+def robots_files(spark, sf_dir):
+    """Rules of robots texts stored as one file per host, in both modes."""
+    path = fresh_path(spark, "robots")
+    robots_texts(spark, sf_dir).write.partitionBy("host").text(path)
+    robots = read_robots(spark, path, F.col("host"))
+    modes = [parse_robots(robots, m).withColumn("mode", F.lit(m)) for m in ("reference", "strict")]
+    return modes[0].unionByName(modes[1])
+
+
 def robots_delays(spark, sf_dir):
     return crawl_delays(robots_texts(spark, sf_dir), rules(spark, sf_dir))
 
@@ -95,6 +115,28 @@ def crawl_order(spark, sf_dir):
     return crawl(tree, seeds, no_rules, 1 << 40, netloc("abs_url")).visited
 
 
+def web_crawl(spark, sf_dir, budgets):
+    """Crawl the web of all pages from the first eight, under their sites' rules; one call for each budget, all on one log.
+    Visited URLs with their fate, then the queue that is left."""
+    web = written(page_web(spark, sf_dir), "web")
+    seeds = web.where(F.col("node") < 8).select("url", F.col("node").alias("seq"))
+    path = fresh_path(spark, "crawl")
+    for budget in budgets:
+        done = crawl(web, seeds, rules(spark, sf_dir), budget, netloc("abs_url"), path)
+    return done.visited.unionByName(done.frontier.withColumn("status", F.lit("queued")))
+
+
+def crawl_web(spark, sf_dir):
+    """Half of the pages fetched, with rules, dead links and links of the given HTML."""
+    return web_crawl(spark, sf_dir, [table(spark, sf_dir, "pages").count() // 2])
+
+
+def crawl_resumed(spark, sf_dir):
+    """The same crawl, broken off after ten pages and after a sixth of them, and taken up again."""
+    n = table(spark, sf_dir, "pages").count()
+    return web_crawl(spark, sf_dir, [min(10, n // 2), n // 6, n // 2])
+
+
 def depths(spark, sf_dir):
     """Hops of every page of the page tree from its root."""
     tree = page_tree(spark, sf_dir)
@@ -118,12 +160,16 @@ QUERIES = {
     "links_same_site": links_same_site,
     "links_seed_site": links_seed_site,
     "links_allowed": links_allowed,
+    "links_looked_up": links_looked_up,
     "robots_rules": robots_rules,
+    "robots_files": robots_files,
     "robots_delays": robots_delays,
     "frontier_next": frontier_next,
     "frontier_visits": frontier_visits,
     "crawl_summary": crawl_counters,
     "crawl_order": crawl_order,
+    "crawl_web": crawl_web,
+    "crawl_resumed": crawl_resumed,
     "crawl_depth": depths,
     "queue_roundtrip": queue_roundtrip,
 }
@@ -197,6 +243,36 @@ merged AS (
   UNION ALL SELECT url, 1, spot FROM fresh)"""
 TREE = """
 nodes AS (SELECT page_id AS node, split_part(url, '#', 1) || '?node=' || page_id AS url FROM pages)"""
+# round by round: what the last round has found, less what any round has
+WEB = f"""
+RECURSIVE {RULES},
+nodes AS (SELECT page_id AS node, split_part(url, '#', 1) || '?node=' || page_id AS url, html FROM pages),
+own AS (SELECT node, url, unnest({HREFS}) AS href, generate_subscripts({HREFS}, 1) AS pos FROM nodes),
+linked AS (
+  SELECT url, pos, {TIDY.format("split_part(url, '://', 1) || '://' || " + NETLOC.format("url") + " || split_part(href, '#', 1)")} AS target FROM own
+  UNION ALL SELECT a.url, 1000000 + b.node, b.url FROM nodes a JOIN nodes b ON b.node > 0 AND (b.node - 1) // 4 = a.node
+  UNION ALL SELECT a.url, 1::BIGINT << 40, b.url FROM nodes a JOIN nodes b ON b.node = a.node + 1
+  UNION ALL SELECT url, 1::BIGINT << 41, regexp_replace(url, '[?].*', '') || '/gone' FROM nodes),
+edges AS MATERIALIZED (
+  SELECT url, pos, target, CASE WHEN target IN (SELECT url FROM nodes) THEN 'fetched' ELSE 'failed' END AS status FROM linked
+  WHERE NOT {BLOCKED.format(host=NETLOC.format("target"), path=PATH.format("target"))}),
+crawled(url, seq, status, from_seq) USING KEY (url) AS (
+  SELECT url, node, CASE WHEN {BLOCKED.format(host=NETLOC.format("url"), path=PATH.format("url"))} THEN 'disallowed' ELSE 'fetched' END, -1::BIGINT
+  FROM nodes WHERE node < 8
+  UNION ALL
+  SELECT target, (SELECT max(seq) FROM recurring.crawled) + row_number() OVER (ORDER BY spot), status, spot.seq
+  FROM (SELECT target, min({{'seq': c.seq, 'pos': pos}}) AS spot, any_value(e.status) AS status
+        FROM crawled c JOIN edges e ON e.url = c.url WHERE c.status = 'fetched' AND target NOT IN (SELECT url FROM recurring.crawled)
+        GROUP BY target)),
+ended AS (
+  SELECT coalesce((SELECT seq FROM (SELECT seq, row_number() OVER (ORDER BY seq) AS n FROM crawled WHERE status = 'fetched')
+                   WHERE n = (SELECT count(*) // 2 FROM pages)), (SELECT max(seq) FROM crawled)) AS last)"""
+# every directory of a site's page is closed, and everywhere each short first directory
+LOOKED_UP = f"""
+closed AS (
+  SELECT DISTINCT {NETLOC.format("url")} AS host, regexp_replace({PATH.format("url")}, '[^/]*$', '') AS value FROM pages
+  UNION SELECT NULL, substring({PATH.format("url")}, 1, 4) FROM pages
+  WHERE substring({PATH.format("url")}, 1, 4) LIKE '%/' AND length(substring({PATH.format("url")}, 1, 4)) > 3)"""
 
 SQL = {
     "links_raw": f"WITH {LINKS} SELECT page_id, pos, href FROM raw",
@@ -210,6 +286,11 @@ WHERE {NETLOC.format("abs_url")} = (SELECT {NETLOC.format("url")} FROM pages ORD
 WITH {FORMS}, {RULES}
 SELECT page_id, pos, form, abs_url FROM forms
 WHERE NOT {BLOCKED.format(host=NETLOC.format("abs_url"), path=PATH.format("abs_url"))}""",
+    "links_looked_up": f"""
+WITH {FORMS}, {LOOKED_UP}
+SELECT page_id, pos, form, abs_url FROM forms
+WHERE NOT EXISTS (SELECT 1 FROM closed r WHERE length(r.value) > 1 AND (r.host IS NULL OR r.host = {NETLOC.format("abs_url")})
+                  AND starts_with({PATH.format("abs_url")}, r.value))""",
     "robots_rules": f"WITH {RULES} SELECT mode, host, pos, kind, value FROM rules",
     "robots_delays": f"WITH {ROBOTS} SELECT host, CASE WHEN n % 3 = 0 THEN 15 ELSE n END AS delay FROM hosts",
     "frontier_next": f"WITH {STEP} SELECT url, row_number() OVER (ORDER BY new, spot) - 1 AS seq FROM merged",
@@ -219,6 +300,9 @@ WITH {STEP}
 SELECT (SELECT count(*) FROM fetched) AS pages_fetched, (SELECT count(*) FROM taken) AS urls_visited,
        (SELECT count(*) FROM merged) AS urls_remaining""",
     "crawl_order": f"WITH {TREE} SELECT url, node AS seq, 'fetched' AS status FROM nodes",
+    "crawl_web": f"""
+WITH {WEB}
+SELECT url, seq, CASE WHEN seq <= last THEN status ELSE 'queued' END AS status FROM crawled, ended WHERE seq <= last OR from_seq <= last""",
     "crawl_depth": f"""
 WITH RECURSIVE {TREE},
 reached(node, depth) AS (
@@ -230,3 +314,5 @@ WITH homes AS (
   SELECT regexp_extract(url, '^[a-z]+://[^/?#]*', 0) || '/' AS url, min(page_id) AS first_id FROM pages GROUP BY 1)
 SELECT url, row_number() OVER (ORDER BY first_id) - 1 AS seq FROM homes""",
 }
+SQL["crawl_resumed"] = SQL["crawl_web"]
+SQL["robots_files"] = SQL["robots_rules"]

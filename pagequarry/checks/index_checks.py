@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens as text_tokens
-from ..operators.index import explode_tokens, number_documents
+from ..operators.index import build_index, explode_tokens, number_documents
 from ..plans.storage import fresh_path
-from ..sources.index_store import load_index, save_index
+from ..sources.index_store import load_index, load_or_build, save_index
 from .inputs import INDEX_BUCKETS, document_index, searcher, table
 
 TOKENS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]{{3,}}')"
@@ -113,7 +113,26 @@ def tfidf_weights(spark, sf_dir):
     )
 
 
+def index_load_or_build(spark, sf_dir):
+    """A stored index three times: built, loaded (building again would fail), and rebuilt by force over another table."""
+    path = fresh_path(spark, "load-or-build")
+    benchmark = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+
+    def never():
+        raise AssertionError("a stored index was not loaded")
+
+    def totals(step, index):
+        return index.corpus_stats.select(F.lit(step).alias("step"), "total_docs", "total_unique_terms")
+
+    built = totals("built", load_or_build(spark, path, lambda: document_index(spark, sf_dir), buckets=INDEX_BUCKETS))
+    loaded = totals("loaded", load_or_build(spark, path, never, buckets=INDEX_BUCKETS))
+    other = lambda: build_index(benchmark, fields=["text"])
+    rebuilt = totals("rebuilt", load_or_build(spark, path, other, force_rebuild=True, buckets=INDEX_BUCKETS))
+    return built.unionByName(loaded).unionByName(rebuilt).unionByName(totals("newest", load_index(spark, path)))
+
+
 QUERIES = {
+    "index_load_or_build": index_load_or_build,
     "tokens": tokens,
     "tokens_fields": tokens_fields,
     "postings": postings,
@@ -173,3 +192,10 @@ SELECT doc_id, count(*) AS n_terms, round(sum(tf), 6) AS tf,
        round(sum(tf * idf_smooth), 6) AS tfidf_smooth, round(max(tf * idf_smooth), 9) AS top_smooth
 FROM w GROUP BY doc_id""",
 }
+SQL["index_load_or_build"] = f"""
+WITH {POSTINGS},
+main AS (SELECT n AS total_docs, (SELECT count(*) FROM dfs) AS total_unique_terms FROM corpus),
+other AS (
+  SELECT (SELECT count(*) FROM benchmark) AS total_docs, count(DISTINCT term) AS total_unique_terms
+  FROM (SELECT unnest({TEXT_TOKENS}) AS term FROM benchmark))
+SELECT unnest(['built', 'loaded']) AS step, * FROM main UNION ALL SELECT unnest(['rebuilt', 'newest']), * FROM other"""

@@ -46,6 +46,15 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
+def site_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark texts and, behind them, the title of each site's first page: more words than fit a literal list."""
+    pages = table(spark, sf_dir, "pages")
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    titles = pages.groupBy(netloc("url")).agg(F.min(F.struct("page_id", title.alias("text"))).alias("first"))
+    sites = titles.select((F.lit(1 << 40) + F.col("first.page_id")).alias("query_id"), "first.text")
+    return benchmark_queries(spark, sf_dir).unionByName(sites)
+
+
 def page_links_in_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every link of every page in eight forms: as it is, relative, from the parent folder, on another host, as a
     query, with dot segments, as a mail address and absolute with an upper-case scheme."""
@@ -107,6 +116,22 @@ def page_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.join(anchors, "node", "left").select("node", "url", F.coalesce(html, F.lit("")).alias("html"))
 
 
+def page_web(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with their whole HTML, made into a web: behind what a page has, it links to the pages ``4i + 1`` to
+    ``4i + 4`` of the tree, to the page after it and to an address of its own where there is nothing."""
+    pages = table(spark, sf_dir, "pages")
+    nodes = pages.select("page_id", F.concat(cut_fragment("url"), F.lit("?node="), "page_id").alias("url"), "html")
+    targets = nodes.select(F.col("page_id").alias("to"), F.col("url").alias("to_url"))
+    tree = targets.where(F.col("to") > 0).select(((F.col("to") - 1) / 4).cast("bigint").alias("page_id"), "to", "to_url")
+    after = targets.where(F.col("to") > 0).select((F.col("to") - 1).alias("page_id"), F.lit(1 << 40).alias("to"), "to_url")
+    gone = nodes.select("page_id", F.lit(1 << 41).alias("to"), F.concat(F.regexp_replace("url", "[?].*", ""), F.lit("/gone")).alias("to_url"))
+    anchor = F.concat(F.lit('\n<a href="'), F.col("to_url"), F.lit('">x</a>'))
+    # six links at most per page
+    added = tree.unionByName(after).unionByName(gone).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("to", anchor.alias("a")))).alias("as"))
+    html = F.concat("html", F.array_join(F.transform("as", lambda x: x["a"]), ""))
+    return nodes.join(added, "page_id").select(F.col("page_id").alias("node"), "url", html.alias("html"))
+
+
 def stamped_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages with a download time that follows ``page_id``."""
     at = F.timestamp_add("SECOND", F.col("page_id").cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
@@ -133,7 +158,10 @@ def record_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         body,
         F.lit('\n</div>\n<dl><dt class="t">Full Name</dt>\n<dd class="d">\n '),
         title,
-        F.lit(' of <small>x</small></dd>\n<dt class="t">Country</dt>\n<dd class="d">\n <a href="/c">'),
+        F.lit(' of <small>x</small></dd>\n'),
+        # one page in three has a block before it that names no country
+        F.when(F.length(title) % 3 == 0, F.lit('<dt class="t">Country</dt>\n<dd class="d">\n unknown\n</dd>\n')).otherwise(""),
+        F.lit('<dt class="t">Country</dt>\n<dd class="d">\n <a href="/c">'),
         lang,
         F.lit("</a>"),
         second,

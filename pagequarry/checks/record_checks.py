@@ -5,11 +5,24 @@ from pyspark.sql import functions as F
 from ..functions.text import strip_markup
 from ..functions.url import page_rel_path
 from ..operators.extract import FIELD_RULES, extract_fields, extract_records, join_log_pages, select_pages
+from ..operators.index import build_index, number_documents
+from ..operators.search import Searcher
+from ..plans.ordering import number_rows
 from ..plans.storage import fresh_path
-from ..sources.pages import append_log, latest_pages, page_inventory, path_collisions, read_log
+from ..sources.pages import (
+    append_log,
+    latest_pages,
+    load_queue,
+    page_inventory,
+    path_collisions,
+    read_log,
+    read_page_files,
+    save_queue,
+)
 from ..sources.records import read_records, write_records
-from ..streaming.intake import first_seen, read_page_stream, start_intake
+from ..streaming.intake import first_seen, read_intake, read_page_stream, start_first_copies, start_intake
 from .inputs import record_pages, stamped_pages, table
+from .search_checks import literal
 
 PAGE_RULES = {
     "title": r"<title>([^<]*)</title>",
@@ -17,6 +30,9 @@ PAGE_RULES = {
     "lang": r'<html lang="([a-z]*)"',
     "charset": r'<meta charset="(.*?)"',
 }
+# pages of one language tie in the first, and both hold words of many titles
+ORDERED_QUERIES = ["the nicht", "that und que"]
+COPY = 1 << 40
 LANGUAGE_PATHS = r"^(en|fr)/.+"
 
 
@@ -121,7 +137,68 @@ def stream_page_dedup(spark, sf_dir):
     return spark.read.parquet(sink).select("page_id", "url")
 
 
+def page_latest_many(spark, sf_dir):
+    """The page that stays under each path, with more losers than are sent to the pages."""
+    kept = latest_pages(placed_pages(spark, sf_dir), ["at", "page_id"], limit=0)
+    return kept.select("filepath_saved", "page_id", F.md5("html").alias("digest"))
+
+
+def records_in_order(spark, sf_dir):
+    """From log to ranking in the order of the log: pages appended by size, then the https ones once more, extracted, written
+    as CSV, read, numbered, indexed and searched. Ties of the ranking follow the log, not the URLs."""
+    log = inventory(spark, sf_dir)
+    path, csv = fresh_path(spark, "log"), fresh_path(spark, "records")
+    append_log(log, path, ["filesize_bytes", "page_id"])
+    append_log(log.where(F.col("url").startswith("https:")), path, ["page_id"])
+    pages = latest_pages(placed_pages(spark, sf_dir), ["at", "page_id"])
+    rules = {"name": PAGE_RULES["title"], "contry": PAGE_RULES["lang"]}
+    records = extract_records(read_log(spark, path, numbered=True), pages, rules, LANGUAGE_PATHS)
+    write_records(records, csv, ["seq"])
+    numbered = number_documents(read_records(spark, csv, ["url", *rules], numbered=True), ["seq"])
+    index = Searcher(build_index(numbered, metadata=["url"]))
+    found = index.with_metadata(index.search(ORDERED_QUERIES, top_k=None))
+    return found.select("query_id", "rank", "doc_id", "url", F.round("score", 9).alias("score"))
+
+
+def stream_first_copy(spark, sf_dir):
+    """Pages delivered in two batches, the later ones with altered copies: the first page of each URL stays."""
+    pages = table(spark, sf_dir, "pages")
+    source, sink, state = (fresh_path(spark, f"first-{d}") for d in ("in", "out", "state"))
+    altered = pages.select((F.col("page_id") + COPY).alias("page_id"), "url", F.concat(F.lit("copy "), "html").alias("html"))
+    early, late = pages.where(F.col("url").startswith("http:")), pages.where(~F.col("url").startswith("http:"))
+    copies = altered.where(F.col("url").startswith("http:"))
+    for batch in (early.unionByName(copies), late.unionByName(copies).unionByName(altered)):
+        batch.write.mode("append").parquet(source)
+        start_first_copies(read_page_stream(spark, source), sink, state).awaitTermination()
+    return read_intake(spark, sink).select("page_id", "url", F.md5("html").alias("digest"))
+
+
+def queue_versions(spark, sf_dir):
+    """The queue of all pages by size saved, then replaced by its second half: what is loaded is the newest version."""
+    path = fresh_path(spark, "queues")
+    queue = number_rows(inventory(spark, sf_dir).select("page_id", "url", "filesize_bytes"), ["filesize_bytes", "page_id"], "seq")
+    save_queue(queue, path)
+    half = load_queue(spark, path).agg(F.floor(F.count(F.lit(1)) / 2)).scalar()
+    save_queue(load_queue(spark, path).where(F.col("seq") >= half), path)
+    return load_queue(spark, path)
+
+
+def page_files(spark, sf_dir):
+    """Every page as a text file of its own, found and read again by file path."""
+    path = fresh_path(spark, "page-files")
+    pages = table(spark, sf_dir, "pages")
+    pages.select("page_id", "html").write.partitionBy("page_id").text(path)
+    back = read_page_files(spark, path)
+    number = F.regexp_extract("filepath_saved", "^page_id=([0-9]+)/[^/]*$", 1).cast("bigint")
+    return back.select(number.alias("page_id"), F.md5("html").alias("digest"))
+
+
 QUERIES = {
+    "page_files": page_files,
+    "page_latest_many": page_latest_many,
+    "records_in_order": records_in_order,
+    "stream_first_copy": stream_first_copy,
+    "queue_versions": queue_versions,
     "page_inventory": inventory,
     "log_roundtrip": log_roundtrip,
     "path_collisions": collisions,
@@ -168,7 +245,9 @@ laid AS (
     CASE WHEN length(title) % 5 = 0 THEN '<h1>' ELSE '<h1 class="primary_title">' END || title || E'</h1>\\n'
     || '<div class="site-rating" data-votes="' || size || '" data-rating="' || page_id || '" data-average=" 3.5 "></div>'
     || E'\\n<div class="intro-text text-lead">\\n ' || body || E'\\n</div>\\n<dl><dt class="t">Full Name</dt>\\n<dd class="d">\\n '
-    || title || E' of <small>x</small></dd>\\n<dt class="t">Country</dt>\\n<dd class="d">\\n <a href="/c">' || lang || '</a>'
+    || title || E' of <small>x</small></dd>\\n'
+    || CASE WHEN length(title) % 3 = 0 THEN E'<dt class="t">Country</dt>\\n<dd class="d">\\n unknown\\n</dd>\\n' ELSE '' END
+    || E'<dt class="t">Country</dt>\\n<dd class="d">\\n <a href="/c">' || lang || '</a>'
     || CASE WHEN length(title) % 2 = 0 THEN E'\\n <a href="/x">' || upper(lang) || '</a>' ELSE '' END
     || E'\\n</dd>\\n<dt class="t">Status</dt>\\n<dd class="d">\\n Listed ' || size
     || E' <span>x</span></dd>\\n<dt class="t">Type</dt>\\n<dd class="d">\\n ' || host || ' <i class="c"></i></dd></dl>' AS html
@@ -208,3 +287,25 @@ FROM (SELECT page_id, regexp_replace(trim(regexp_extract(html, '<article>([\s\S]
 SELECT url, {PAGE_FIELDS}, md5({first_of(r"<body>([\s\S]*?)</body>")}) AS body FROM pages""",
     "stream_page_dedup": "SELECT page_id, url FROM pages",
 }
+SQL["page_latest_many"] = SQL["page_latest"]
+SQL["records_in_order"] = f"""
+WITH {LATEST},
+appended AS (
+  SELECT 0 AS time, filesize_bytes AS place, page_id, url, filepath_saved FROM log
+  UNION ALL SELECT 1, 0, page_id, url, filepath_saved FROM log WHERE url LIKE 'https:%'),
+records AS (
+  SELECT row_number() OVER (ORDER BY time, place, a.page_id) - 1 AS doc_id, a.url,
+         {first_of(PAGE_RULES["title"], "k.html")} AS name, {first_of(PAGE_RULES["lang"], "k.html")} AS lang
+  FROM appended a JOIN latest k USING (filepath_saved) WHERE regexp_matches(a.filepath_saved, '{LANGUAGE_PATHS}')),
+documents AS (SELECT doc_id, concat_ws(' ', name, lang) AS text FROM records),
+{literal(*ORDERED_QUERIES).removeprefix("WITH ")}
+SELECT CAST(query_id AS BIGINT) AS query_id, rank, doc_id, url, round(score, 9) AS score
+FROM ranked JOIN records USING (doc_id) WHERE method = 'classic'"""
+SQL["stream_first_copy"] = """
+SELECT page_id, url, md5(html) AS digest
+FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id) AS copy FROM pages) WHERE copy = 1"""
+SQL["queue_versions"] = """
+SELECT url, seq FROM (SELECT url, row_number() OVER (ORDER BY strlen(html), page_id) - 1 AS seq, count(*) OVER () AS n FROM pages)
+WHERE seq >= n // 2"""
+# the writer ends a file with a line end
+SQL["page_files"] = "SELECT page_id, md5(html || chr(10)) AS digest FROM pages"

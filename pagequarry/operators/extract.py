@@ -2,7 +2,7 @@
 
 from collections.abc import Collection, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import first_group, python_pattern, strip_markup, strip_space, unix_newlines
@@ -21,11 +21,13 @@ FIELD_RULES = {
     "status": r"<dt.*>\s*Status\s*</dt>\s*<dd .*>\s*(.*)\s*<span",
     "type": r"<dt.*>\s*Type\s*</dt>\s*<dd.*>\s*(.*)\s*<i",
 }
-# A rule whose group repeats, as a block and what each of its lines must be: the last line's group 1 is the value. A
-# repeated group costs the pattern engine stack for every repetition, and a long list would end the process.
+# A rule whose group repeats, as what ends a block, the block's head with the body behind it, and what each line of the body
+# must be: the last line's group 1 is the value. A repeated group costs the pattern engine stack for every repetition,
+# and a long list would end the process.
 REPEATED_RULES = {
     FIELD_RULES["contry"]: (
-        r"<dt.*>\s*(?:Country|Countries)\s*</dt>\s*<dd .*>([\s\S]*?)\s*</dd>",
+        r"</dd>",
+        r"^[\s\S]*<dt.*>\s*(?:Country|Countries)\s*</dt>\s*<dd .*>([\s\S]*)$",
         r"^\s*<a.*?>(.+)</a>\s*$",
     ),
 }
@@ -34,6 +36,19 @@ MARKUP_FIELDS = ("description",)
 RECORD_PATHS = r"^(list|tentative|former-tentative|in-danger).+/index.html"
 
 
+def _of_blocks(text: str, end: str, block: str, item: str) -> Column:
+    """Value of a rule whose group repeats: that of the first block all of whose lines fit; empty when none does."""
+    block, item = python_pattern(block), python_pattern(item)
+    pieces = F.split(text, end)
+    # what follows the last end is no block
+    closed = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    bodies = F.transform(F.filter(closed, lambda x: F.rlike(x, F.lit(block))), lambda x: F.regexp_extract(x, block, 1))
+    lines = F.transform(bodies, lambda x: F.filter(F.split(x, "\n"), lambda y: strip_space(y) != ""))
+    sound = F.filter(lines, lambda x: F.forall(x, lambda y: F.rlike(y, F.lit(item))))
+    last = F.try_element_at(F.try_element_at(sound, F.lit(1)), F.lit(-1))
+    return F.coalesce(F.regexp_extract(last, item, 1), F.lit(""))
+
+
 def extract_fields(
     pages: DataFrame,
     rules: Mapping[str, str] = FIELD_RULES,
@@ -49,12 +64,7 @@ def extract_fields(
     text = pages.select(*others, unix_newlines(F.col(html)).alias("_text"))
 
     def value_of(pattern: str):
-        if pattern not in REPEATED_RULES:
-            return first_group("_text", pattern)
-        block, item = REPEATED_RULES[pattern]
-        lines = F.filter(F.split(first_group("_text", block), "\n"), lambda x: strip_space(x) != "")
-        sound = F.forall(lines, lambda x: F.rlike(x, F.lit(python_pattern(item))))
-        return F.when(sound, F.coalesce(first_group(F.try_element_at(lines, F.lit(-1)), item), F.lit(""))).otherwise("")
+        return _of_blocks("_text", *REPEATED_RULES[pattern]) if pattern in REPEATED_RULES else first_group("_text", pattern)
 
     def field(name: str, pattern: str):
         value = strip_space(value_of(pattern))
@@ -83,12 +93,15 @@ def extract_records(
     pattern: str = RECORD_PATHS,
     dedupe: bool = False,
 ) -> DataFrame:
-    """Records ``url`` + one column per rule for the log rows of the wanted page class.
+    """Records ``url`` + one column per rule for the log rows of the wanted page class, and ``seq`` where the log has it:
+    the place of the log row, which is the order of the records. ``dedupe`` keeps the first of repeated log rows.
 
     The fields are extracted before the join, so the shuffle carries nine short strings instead of whole pages.
     """
-    wanted = select_pages(log.select("url", "filepath_saved"), pattern=pattern)
+    place = ["seq"] if "seq" in log.columns else []
+    wanted = select_pages(log.select("url", "filepath_saved", *place), pattern=pattern)
     if dedupe:
-        wanted = wanted.distinct()
+        rows = wanted.groupBy("url", "filepath_saved")
+        wanted = rows.agg(F.min("seq").alias("seq")) if place else wanted.distinct()
     texts = select_pages(pages.select("filepath_saved", "html"), pattern=pattern)
-    return join_log_pages(wanted, extract_fields(texts, rules)).select("url", *rules)
+    return join_log_pages(wanted, extract_fields(texts, rules)).select("url", *rules, *place)

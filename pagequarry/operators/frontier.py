@@ -1,6 +1,6 @@
-"""Crawl frontier over tables: one step, a whole level-by-level crawl, and hop distances.
+"""Crawl frontier over tables: one step, a whole crawl in rounds, and hop distances.
 
-A level is a few joins, and it gives exactly what a first-in first-out queue gives: the queue is numbered by
+A round is a few joins, and it gives exactly what a first-in first-out queue gives: the queue is numbered by
 ``seq``, the pages that fit the budget are its first ones, and new links follow in the order of (page, position).
 """
 
@@ -9,17 +9,21 @@ from dataclasses import dataclass
 from itertools import count
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.url import cut_fragment
-from ..plans.joins import fits_broadcast, keys_among, lookup_join
-from ..plans.ordering import first_rows, number_rows
-from ..plans.storage import written
+from ..plans.joins import BROADCAST_BYTES, ROW_OVERHEAD, fits_broadcast, keys_among, lookup_join
+from ..plans.ordering import nth_smallest, number_rows, part_of, place_in_part
+from ..plans.storage import fresh_path, read_if_there, written
 from .links import site_links
 from .robots import drop_disallowed, flag_disallowed
 
 DEFAULT_BUDGET = 5
-VISITED_SCHEMA = "url string, seq bigint, status string"
+# A crawl's log: each round is a folder, and ``at`` is partition and position of its sort in one number.
+LOG_SCHEMA = "url string, status string, at bigint, round int"
+# One row per finished round: pages fetched so far, and the last log row that has been taken from the queue.
+ROUNDS_SCHEMA = "round int, fetched bigint, done_round int, done_at bigint"
 
 
 @dataclass(frozen=True)
@@ -64,7 +68,7 @@ def _step(
     elif n < budget:
         taken, remaining = attempts, queue.where(F.lit(False))
     else:
-        n, last = budget, first_rows(fetchable, ["seq"], budget).agg(F.max("seq")).first()[0]
+        n, last = budget, nth_smallest(fetchable, "seq", budget)
         taken, remaining = attempts.where(F.col("seq") <= last), queue.where(F.col("seq") > last)
 
     fresh = (
@@ -113,30 +117,111 @@ def crawl(
     rules: DataFrame,
     max_pages: int = DEFAULT_BUDGET,
     site: str | Column | None = None,
+    path: str | None = None,
+    base_url: str | None = None,
 ) -> FrontierStep:
-    """Steps until the queue is empty or ``max_pages`` pages are fetched; one job chain per level.
+    """Rounds until the queue is empty or ``max_pages`` pages are fetched. ``seq`` of the result is the visiting order,
+    and the rest of the queue goes on from there.
 
-    ``seeds(url, seq)``. Links are extracted once for the whole corpus, and forbidden ones never enter the table, so
-    only the seeds are held against the rules. ``seq`` of the result is the visiting order.
+    ``seeds(url, seq)``; without any, the crawl starts at ``base_url``. Every URL gets its fate and its place once, when
+    it enters the queue, and is appended to one log below ``path``: a first-in first-out queue is visited in the order
+    it was filled. So the queue is the part of the log behind a pointer, the visited URLs are the part before it, and
+    the plan of a round stays the same however many rounds there were. Links are extracted once for the whole corpus,
+    and forbidden ones never enter the table, so only the seeds are held against the rules.
+
+    A crawl whose ``path`` holds finished rounds goes on behind them (``max_pages`` counts the pages fetched before, the
+    seeds have had their turn); a round that was broken off is written anew.
     """
-    known = written(pages.select("url").distinct(), "known")
-    links = written(drop_disallowed(site_links(pages, site), rules, "abs_url").select("url", "pos", "abs_url"), "links")
-    queue, fetched, level = flag_disallowed(seeds, rules, "url"), 0, 0
-    visited = pages.sparkSession.createDataFrame([], f"level int, {VISITED_SCHEMA}")
-    while fetched < max_pages and not queue.isEmpty():
-        step = _step(
-            queue,
-            visited,
-            known,
-            max_pages - fetched,
-            lambda batch: lookup_join(links, batch, "url", spread_by="abs_url"),
+    spark = pages.sparkSession
+    path = path or fresh_path(spark, "crawl")
+    known = pages.select("url").distinct().withColumn("_page", F.lit("fetched"))
+    fate = F.coalesce("_page", F.lit("failed")).alias("status")
+    links = drop_disallowed(site_links(pages, site), rules, "abs_url").select("abs_url", "url", "pos")
+    known = written(known.withColumnRenamed("url", "abs_url"), "known")
+    linked = lookup_join(links, known, "abs_url", "left", spread_by="url")
+    edges = written(linked.select("url", "pos", "abs_url", fate), "links")
+
+    rounds = read_if_there(spark, f"{path}/rounds", ROUNDS_SCHEMA)
+    last = rounds and rounds.orderBy(F.desc("round")).first()
+    if last is None:
+        if base_url is not None and seeds.isEmpty():
+            seeds = spark.createDataFrame([(base_url, 0)], "url string, seq bigint")
+        first = flag_disallowed(seeds.groupBy("url").agg(F.min("seq").alias("seq")), rules, "url")
+        found = first.join(known.withColumnRenamed("abs_url", "url"), "url", "left")
+        status = F.when(F.col("disallowed"), "disallowed").otherwise(fate).alias("status")
+        last = _append_round(found.select("url", status, "seq"), ["seq"], path, 0, (0, -1, -1))
+    while last["fetched"] < max_pages:
+        # a folder without its row in the table of rounds was broken off
+        log = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/log").where(F.col("round") <= last["round"])
+        queue = log.where(_behind(last))
+        fetchable = F.col("status") == "fetched"
+        seen = queue.agg(
+            F.max(F.struct("round", "at")).alias("end"),
+            F.count_if(fetchable).alias("fetchable"),
+            F.sum(F.when(fetchable, F.octet_length("url") + ROW_OVERHEAD)).alias("bytes"),
+        ).first()
+        if seen["end"] is None:
+            break
+        left, end = max_pages - last["fetched"], tuple(seen["end"])
+        if seen["fetchable"] >= left:
+            end = _nth_place(queue.where(fetchable), left)
+        taken = queue.where(fetchable & ~_behind_place(*end)).select("url", F.struct("round", "at").alias("_from"))
+        # a page's links are as many as its text can hold, so no key of this join is hot
+        batch = F.broadcast(taken) if (seen["bytes"] or 0) <= BROADCAST_BYTES else taken
+        fresh = (
+            edges.join(batch, "url")
+            .groupBy(F.col("abs_url").alias("url"))
+            .agg(F.min(F.struct("_from", "pos")).alias("_first"), F.first("status").alias("status"))
+            .join(log.select("url"), "url", "left_anti")
         )
-        visited = visited.unionByName(step.visited.withColumn("level", F.lit(level)))
-        # left-over seeds keep their verdict; links have passed the rules
-        queue = step.frontier.withColumn("disallowed", F.lit(False))
-        fetched, level = fetched + step.fetched, level + 1
-    order = number_rows(visited.withColumnRenamed("seq", "_at"), ["level", "_at"], "seq")
-    return FrontierStep(queue.select("url", "seq"), order.select("url", "seq", "status"), fetched)
+        fetched = last["fetched"] + min(left, seen["fetchable"])
+        last = _append_round(written(fresh, "fresh"), ["_first"], path, last["round"] + 1, (fetched, *end))
+    return _crawled(spark, path, last)
+
+
+def _behind(last) -> Column:
+    return _behind_place(last["done_round"], last["done_at"])
+
+
+def _behind_place(done_round: int, done_at: int) -> Column:
+    """Log rows after a place."""
+    return (F.col("round") > done_round) | ((F.col("round") == done_round) & (F.col("at") > done_at))
+
+
+def _append_round(found: DataFrame, order: list[str], path: str, number: int, state: tuple) -> dict:
+    """Write a round's new URLs in their order, then the row that says so."""
+    placed = found.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = placed.select("url", "status", F.monotonically_increasing_id().alias("at"))
+    placed.write.mode("overwrite").parquet(f"{path}/log/round={number}")
+    row = (number, *state)
+    found.sparkSession.createDataFrame([row], ROUNDS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/rounds")
+    return dict(zip(("round", "fetched", "done_round", "done_at"), row, strict=True))
+
+
+def _nth_place(rows: DataFrame, n: int) -> tuple[int, int]:
+    """Round and place of the ``n``-th of the given log rows, by counting."""
+    counts = rows.groupBy("round").agg(F.count(F.lit(1)).alias("rows")).orderBy("round").collect()
+    for row in counts:
+        if n <= row["rows"]:
+            return row["round"], nth_smallest(rows.where(F.col("round") == row["round"]), "at", n)
+        n -= row["rows"]
+    raise ValueError("fewer rows than that")
+
+
+def _crawled(spark, path: str, last: dict) -> FrontierStep:
+    """Number the log: offsets per round and partition turn places into the visiting order."""
+    log = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/log").where(F.col("round") <= last["round"])
+    log = log.withColumn("_part", part_of("at"))
+    # one row per round and task
+    sizes = log.groupBy("round", "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    so_far = W.orderBy("round", "_part").rowsBetween(W.unboundedPreceding, W.currentRow)
+    offsets = sizes.select("round", "_part", (F.sum("_rows").over(so_far) - F.col("_rows")).alias("_before"))
+    seq = (F.col("_before") + place_in_part("at")).alias("seq")
+    numbered = log.join(F.broadcast(offsets), ["round", "_part"])
+    queued = _behind(last)
+    return FrontierStep(
+        numbered.where(queued).select("url", seq), numbered.where(~queued).select("url", seq, "status"), last["fetched"]
+    )
 
 
 def crawl_summary(visited: DataFrame, frontier: DataFrame) -> DataFrame:

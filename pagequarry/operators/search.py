@@ -3,11 +3,14 @@
 A search is one Spark job however many queries it answers. Its shape:
 
 * query terms are expanded with their positions; identical queries are scored once;
-* the term list is counted. A short one becomes literal filters, which prune bucket folders and row groups;
+* the term list is counted. A short one becomes literal filters, which prune bucket folders and row groups; a longer
+  one that can be broadcast prunes the folders when the plan runs;
 * hits (postings of query terms) are placed by document *before* they meet the query terms. The following
   aggregation per query and document keeps that placement, so only hits are shuffled, never hits times queries,
   and a hot term is spread by document instead of landing in one task;
-* the per-query top k is cut inside each task before its rows are shuffled by query.
+* a small top k is cut inside each task before its rows are shuffled by query. A larger one is cut by counting scores
+  in ranges, and what is left is ranked by a sort that deals each query's matches over many tasks. So is a whole
+  result list (``top_k=None``): the number of matches never decides how much one task sorts.
 """
 
 from collections.abc import Sequence
@@ -19,13 +22,19 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..functions.weights import METHODS, doc_share, idf_classic, idf_smooth, term_frequency
-from ..plans.joins import BROADCAST_BYTES, HOT_ROWS, HOT_SHARE, SALTS, fits_broadcast, hot_split_join, salted_join
+from ..plans.joins import BROADCAST_BYTES, SALTS, fits_broadcast, hot_split_join, salted_join
+from ..plans.ordering import rank_rows
 from ..plans.storage import written
 from .index import SearchIndex, bucket_of
 
 DEFAULT_TOP_K = 10
 # Up to this many distinct terms the list is written into the plan as a filter.
 LITERAL_TERMS = 1_000
+# Up to this many rows per query and task Spark cuts inside the tasks, if no query's last task gets more than LAST_TASK_ROWS.
+GROUP_LIMIT = 1_000
+LAST_TASK_ROWS = 1_000_000
+# Ranges of scores counted per query before a large top k is ranked.
+SCORE_RANGES = 4_096
 # Bytes of a query's number and digest, with room for the row around them.
 KEY_BYTES = 160
 
@@ -97,10 +106,16 @@ class Searcher:
         found = terms.select("term", folder.alias("folder")).limit(LITERAL_TERMS + 1).collect()
         return {r.term: r.folder for r in found} if len(found) <= LITERAL_TERMS else None
 
-    def _of_terms(self, table: DataFrame, literals: dict[str, int] | None) -> DataFrame:
-        """Rows of a term-keyed index table that can concern the query terms."""
+    def _of_terms(self, table: DataFrame, literals: dict[str, int] | None, terms: DataFrame | None = None) -> DataFrame:
+        """Rows of a term-keyed index table that can concern the query terms: by literals, or by a list of ``terms`` small
+        enough to be broadcast. Stored by bucket, only the folders of these terms are read either way."""
         if literals is None:
-            return table
+            if terms is None:
+                return table
+            wanted, on = terms.select("term").where(F.length("term") > 0).distinct(), ["term"]
+            if self.index.buckets:
+                wanted, on = wanted.withColumn("_bucket", bucket_of("term", self.index.buckets)), ["_bucket", "term"]
+            return table.join(F.broadcast(wanted), on, "left_semi")
         kept = table.where(F.col("term").isin(list(literals)))
         if self.index.buckets:
             kept = kept.where(F.col("_bucket").isin(sorted(set(literals.values()))))
@@ -111,14 +126,13 @@ class Searcher:
     def _parts(self, wanted: Wanted) -> DataFrame:
         """One row per query, document and matching query word: ``pos``, ``tf`` and both IDFs."""
         terms, literals = wanted.terms, wanted.literals
-        frequencies = self._of_terms(self.index.term_df, literals).select("term", "df")
-        hits = self._of_terms(self.index.postings, literals).select(
+        listed = terms if wanted.small else None
+        frequencies = self._of_terms(self.index.term_df, literals, listed).select("term", "df")
+        # before the shuffle, drop what no query asks for
+        hits = self._of_terms(self.index.postings, literals, listed).select(
             "term", "doc_id", term_frequency("tf", "doc_len").alias("tf")
         )
         if wanted.small:
-            if literals is None:
-                # before the shuffle, drop what no query asks for
-                hits = hits.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
             # unique terms on the other side, so the result is no longer than the measured term table
             weighed = self._with_idf(frequencies.join(F.broadcast(terms), "term"))
             return self._by_document(hits, wanted).join(F.broadcast(weighed), "term")
@@ -129,7 +143,7 @@ class Searcher:
         if wanted.given:
             return hits.repartition("doc_id")
         # a table of queries multiplies the hits, so their tasks are not merged for being small before that
-        return hits.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+        return hits.repartition(_shuffle_partitions(self.spark), "doc_id")
 
     def _with_idf(self, frequencies: DataFrame) -> DataFrame:
         return frequencies.select(
@@ -160,34 +174,60 @@ class Searcher:
         scored = F.array(*[F.struct(F.lit(m).alias("method"), F.col(f"w_{m}").alias("score")) for m in methods])
         return per_doc.select("query_key", "doc_id", "first_pos", F.inline(scored))
 
-    def search(self, queries, method: str = "classic", top_k: int = DEFAULT_TOP_K) -> DataFrame:
-        """The best ``top_k`` documents of each query: ``query_id, method, rank, doc_id, score``.
+    def search(
+        self, queries, method: str = "classic", top_k: int | None = DEFAULT_TOP_K, matches: bool = False
+    ) -> DataFrame:
+        """The best ``top_k`` documents of each query, all with None: ``query_id, method, rank, doc_id, score``, and with
+        ``matches`` the number of documents that match the query.
 
         Any query word may match. Equal scores keep the order of the first matching query word, then of the
         document number. Unknown words add nothing; an empty query has no rows.
         """
-        return self._ranked(queries, [method], top_k)
+        return self._ranked(queries, [method], top_k, matches)
 
-    def compare(self, queries, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+    def compare(self, queries, top_k: int | None = DEFAULT_TOP_K, matches: bool = False) -> DataFrame:
         """Both IDF methods side by side, scored in one pass."""
-        return self._ranked(queries, METHODS, top_k)
+        return self._ranked(queries, METHODS, top_k, matches)
 
-    def _ranked(self, queries, methods: Sequence[str], top_k: int) -> DataFrame:
-        if top_k < 0:
+    def _ranked(self, queries, methods: Sequence[str], top_k: int | None, matches: bool) -> DataFrame:
+        if top_k is not None and top_k < 0:
             raise ValueError("top_k must not be negative")
         wanted = self._expand(queries)
+        scored = self._score(wanted, methods)
+        few = top_k is not None and top_k <= GROUP_LIMIT and top_k * _shuffle_partitions(self.spark) <= LAST_TASK_ROWS
+        if matches or not few:
+            # read by the cut, the sort and the count
+            scored = written(scored, "scores")
+        best = self._few(scored, top_k) if few else self._many(scored, top_k)
+        columns = ["query_id", "method", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score"]
+        if matches:
+            # every method scores the same documents; one row per query on the other side
+            counts = scored.where(F.col("method") == methods[0]).groupBy("query_key").agg(F.count(F.lit(1)).alias("matches"))
+            best = self._with_queries(best, counts, wanted.small)
+            columns.append("matches")
+        if few and not wanted.small:
+            return salted_join(wanted.queries, best, ["query_key"], "inner", ["query_id"]).select(*columns)
+        return self._with_queries(best, wanted.queries, wanted.small).select(*columns)
+
+    def _with_queries(self, best: DataFrame, per_query: DataFrame, small: bool) -> DataFrame:
+        """Join ranked rows with a table of queries; a long result is spread by document."""
+        if small:
+            return best.join(F.broadcast(per_query), "query_key")
+        return salted_join(best, per_query, ["query_key"], "inner", ["doc_id"])
+
+    def _few(self, scored: DataFrame, top_k: int) -> DataFrame:
+        """Cut inside each task, then among what the tasks have left of a query."""
         order = W.partitionBy("query_key", "method").orderBy(F.desc("score"), "first_pos", "doc_id")
-        best = (
-            self._score(wanted, methods)
-            .withColumn("rank", F.row_number().over(order))
-            .where(F.col("rank") <= top_k)
-            .drop("first_pos")
-        )
-        if wanted.small:
-            answers = best.join(F.broadcast(wanted.queries), "query_key")
-        else:
-            answers = salted_join(wanted.queries, best, ["query_key"], "inner", ["query_id"])
-        return answers.select("query_id", "method", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score")
+        ranked = scored.withColumn("rank", F.row_number().over(order))
+        return ranked.where(F.col("rank") <= top_k).drop("first_pos")
+
+    def _many(self, scored: DataFrame, top_k: int | None) -> DataFrame:
+        """Ranks of any number of rows per query; ``scored`` is a stored table."""
+        group = ["query_key", "method"]
+        if top_k is not None:
+            scored = _score_cut(scored, group, top_k)
+        ranked = rank_rows(scored, group, [F.desc("score"), "first_pos", "doc_id"], "rank").drop("first_pos")
+        return ranked if top_k is None else ranked.where(F.col("rank") <= top_k)
 
     def match_counts(self, queries) -> DataFrame:
         """Matching documents per query before the cut; 0 for a query that matches nothing."""
@@ -223,6 +263,10 @@ class Searcher:
             if self.index.buckets:
                 docs = docs.where(F.col("_bucket").isin(sorted({r.folder for r in ids}))).drop("_bucket")
         if fits_broadcast(settled):
+            if len(ids) > LITERAL_TERMS and self.index.buckets:
+                # the folders of the documents that are asked for are found when the plan runs
+                placed = settled.where(F.col("rank") > 0).withColumn("_bucket", folder)
+                return stored.join(F.broadcast(placed), ["_bucket", "doc_id"]).drop("_bucket")
             return docs.join(F.broadcast(settled), "doc_id")
         return hot_split_join(settled, docs, "doc_id", "inner", "query_id")
 
@@ -251,9 +295,13 @@ class Searcher:
         )
         terms = requested.select("term").where(F.col("term").isNotNull()).distinct()
         literals = self._literal_terms(terms)
-        known = self._of_terms(self.index.term_df, literals).select("term", "df", "occurrences")
-        if literals is not None:
-            # at most one row per literal
+        listed = None
+        if literals is None:
+            terms = written(terms, "terms")
+            listed = terms if fits_broadcast(terms) else None
+        known = self._of_terms(self.index.term_df, literals, listed).select("term", "df", "occurrences")
+        if literals is not None or listed is not None:
+            # at most one row per term asked for
             joined = requested.join(F.broadcast(known), "term", "left")
         else:
             joined = salted_join(requested, known, ["term"], "left", ["query_id"])
@@ -310,11 +358,36 @@ class Searcher:
         return self.weights(pairs).select("term", "doc_id", F.col(chosen).alias("tfidf"))
 
     def _with_frequency(self, postings: DataFrame) -> DataFrame:
-        """Add ``df``. Hot terms, known from the frequencies themselves, are split by document."""
+        """Add ``df``. Hot terms, known with their rows from the frequencies themselves, are split by document."""
         known = self.index.term_df.select("term", "df")
-        total = known.agg(F.sum("df")).first()[0] or 0
-        hot = [r.term for r in known.where(F.col("df") > max(total // HOT_SHARE, HOT_ROWS)).collect()]
-        return hot_split_join(postings, known, "term", "left", "doc_id", hot)
+        return hot_split_join(postings, known, "term", "left", "doc_id", known.withColumnRenamed("df", "rows"))
+
+
+def _shuffle_partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _score_cut(scored: DataFrame, group: Sequence[str], top_k: int) -> DataFrame:
+    """Rows that can be among the best ``top_k`` of their group: scores are counted in ranges of equal width up to the
+    group's best, and the ranges below the one that holds the ``top_k``-th are left out. A group has at most SCORE_RANGES
+    rows here, so the tables of ranges are no wider than the number of queries."""
+    best = scored.groupBy(*group).agg(F.max("score").alias("_best"))
+    spot = F.floor(F.coalesce(F.col("score") / F.nullif(F.col("_best"), F.lit(0.0)), F.lit(1.0)) * SCORE_RANGES)
+    placed = _by_group(scored, best, group).withColumn("_range", spot)
+    counted = placed.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    above = W.partitionBy(*group).orderBy(F.desc("_range")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    kept = counted.withColumn("_before", F.sum("_rows").over(above) - F.col("_rows")).where(F.col("_before") < top_k)
+    lowest = kept.groupBy(*group).agg(F.min("_range").alias("_lowest"))
+    cut = _by_group(placed, lowest, group).where(F.col("_range") >= F.col("_lowest"))
+    return cut.drop("_best", "_range", "_lowest")
+
+
+def _by_group(rows: DataFrame, per_group: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Join with a table of one row per group: broadcast when it fits, else spread over sub-keys."""
+    settled = written(per_group, "per-query")
+    if fits_broadcast(settled):
+        return rows.join(F.broadcast(settled), list(group))
+    return salted_join(rows, settled, list(group), "inner", ["doc_id"])
 
 
 def _given_small(queries) -> bool:

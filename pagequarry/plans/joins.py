@@ -1,9 +1,10 @@
 """Joins whose strategy follows from measured sizes.
 
-A side is broadcast only when its bytes have been counted and fit. Otherwise the rows are shuffled, with the hot
-keys split: keys above a share of the long side (so there are few of them) are spread over ``SALTS`` sub-keys,
-and only their lookup rows are repeated. No single key decides how long a join takes, and every way gives the
-same rows.
+A side is broadcast only when its bytes have been counted and fit. Otherwise the rows are shuffled, and every key with
+more rows than a task should take is split into as many sub-keys as its own rows need; only the lookup rows of such keys
+are repeated. The limit is a number of rows, so it does not move with the size of the table: a key that holds half a
+percent of a large corpus is split like one that holds a third. No single key decides how long a join takes, and every
+way gives the same rows.
 """
 
 from collections.abc import Sequence
@@ -12,12 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .storage import written
+
 BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD = 64
+# Sub-keys of a join whose keys are not counted.
 SALTS = 32
-# A key with more than 1/HOT_SHARE of the rows is hot, so fewer than HOT_SHARE keys are.
-HOT_SHARE = 200
-HOT_ROWS = 100_000
+# A key with more rows than this is split into parts of about this many.
+PART_ROWS = 100_000
 
 
 def _value_bytes(field: T.StructField) -> Column:
@@ -50,25 +53,41 @@ def salted_join(
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def hot_keys(left: DataFrame, key: str) -> list:
-    """The few keys that hold a large share of the rows; counted with map-side partial sums."""
-    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    share = left.agg(F.count(F.lit(1)) / HOT_SHARE).scalar()
-    return [r[0] for r in counts.where(F.col("_n") > F.greatest(F.lit(float(HOT_ROWS)), share)).select(key).collect()]
+def key_rows(left: DataFrame, key: str) -> DataFrame:
+    """``key, rows`` for every key, summed inside the tasks before the shuffle."""
+    return left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def key_parts(counted: DataFrame, key: str, part_rows: int | None = None) -> DataFrame:
+    """``key, _parts`` of the hot keys of a table ``key, rows``, with the number of sub-keys each needs. They are at most as
+    many as ``part_rows`` goes into all rows."""
+    limit = PART_ROWS if part_rows is None else part_rows
+    hot = counted.where(F.col("rows") > limit)
+    return written(hot.select(key, F.ceil(F.col("rows") / limit).cast("bigint").alias("_parts")), "hot-keys")
 
 
 def hot_split_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, spread_by: str, hot: Sequence | None = None
+    left: DataFrame, right: DataFrame, key: str, how: str, spread_by: str, counted: DataFrame | None = None
 ) -> DataFrame:
-    """Shuffle join on ``key`` where the rows of hot keys are spread by ``spread_by``."""
-    hot = hot_keys(left, key) if hot is None else list(hot)
-    if not hot:
-        return left.join(right, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    spread = F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(SALTS))).otherwise(F.lit(0)).cast("bigint")
-    last = F.when(is_hot, F.lit(SALTS - 1)).otherwise(F.lit(0)).cast("bigint")
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    return left.withColumn("_salt", spread).join(repeated, [key, "_salt"], how).drop("_salt")
+    """Shuffle join on ``key`` where the rows of hot keys are spread by ``spread_by``.
+
+    ``counted`` (``key, rows``) says how many rows each key has on the left where a table knows that. Otherwise they are
+    counted here, over a left side that is written first, so it is not worked out twice.
+    """
+    if counted is None:
+        left = written(left, "join-side")
+        counted = key_rows(left, key)
+    parts = key_parts(counted, key)
+    small = fits_broadcast(parts)
+    # the table of hot keys is as short as the rows divided by the limit; if it is long all the same, both sides are joined to it
+    known = F.broadcast(parts) if small else parts
+    n = F.coalesce("_parts", F.lit(1))
+    # rows without a key match nothing, so they may lie anywhere
+    n = F.when(F.col(key).isNull(), F.lit(SALTS)).otherwise(n)
+    spread = left.join(known, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), n)).drop("_parts")
+    salts = F.sequence(F.lit(0).cast("bigint"), n - 1)
+    repeated = right.join(known, key, "left").withColumn("_salt", F.explode(salts)).drop("_parts")
+    return spread.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
 def lookup_join(

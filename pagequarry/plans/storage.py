@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from functools import cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -36,3 +37,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None where nothing has been written."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

@@ -13,13 +13,13 @@ import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.index import SearchIndex, bucket_of, corpus_statistics, term_totals
 from ..plans.joins import SALTS
+from ..plans.storage import read_if_there
 
 BUCKETS = 256
 BUILD_SCHEMA = "build string, fields array<string>, buckets int, docs_schema string"
@@ -34,9 +34,12 @@ SCHEMAS = {
 
 
 def _write_bucketed(df: DataFrame, key: str, spread_by: str, order: list[str], buckets: int, path: str) -> None:
+    # a bucket is written by as many tasks as there are for it, and by SALTS of them at least where rows allow
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(SALTS, -(-2 * tasks // buckets))
     (
         df.withColumn("_bucket", bucket_of(key, buckets))
-        .repartition("_bucket", F.pmod(F.hash(spread_by), F.lit(SALTS)))
+        .repartition("_bucket", F.pmod(F.hash(spread_by), F.lit(salts)))
         .sortWithinPartitions("_bucket", *order)
         .write.partitionBy("_bucket")
         .parquet(path)
@@ -74,13 +77,8 @@ def _open_build(spark: SparkSession, path: str, build: str, fields, buckets: int
 
 
 def _newest_build(spark: SparkSession, path: str):
-    try:
-        manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/manifest")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return manifest.orderBy(F.desc("built_at"), "build").first()
+    manifest = read_if_there(spark, f"{path}/manifest", MANIFEST_SCHEMA)
+    return manifest and manifest.orderBy(F.desc("built_at"), "build").first()
 
 
 def index_exists(spark: SparkSession, path: str) -> bool:

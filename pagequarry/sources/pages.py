@@ -1,33 +1,46 @@
 """Page corpus, download log, queue and robots files."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_space
 from ..functions.url import page_rel_path
 from ..operators.frontier import queue_of
-from ..plans.joins import fits_broadcast
-from ..plans.storage import written
+from ..plans.joins import BROADCAST_BYTES, fits_broadcast
+from ..plans.storage import read_if_there, written
+from .file_order import in_file_order
 
 # Columns of the download log.
 LOG_SCHEMA = "url string, downloaded_at string, filesize_bytes bigint, filepath_saved string"
+QUEUE_SCHEMA = "url string, seq bigint"
+VERSIONS_SCHEMA = "version string, saved_at timestamp"
+BITMAP_BITS = 1 << 27
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
-    """``filepath_saved, html`` of every file below ``folder``; files that are not UTF-8 or vanish are skipped."""
-    files = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("ignoreMissingFiles", True)
-        .option("ignoreCorruptFiles", True)
-        .text(folder, wholetext=True)
-    )
+def page_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``filepath_saved, html, readable`` of every file below ``folder``; a file that is not UTF-8 has no ``html``, one that
+    vanishes no row."""
+    files = spark.read.option("recursiveFileLookup", True).option("ignoreMissingFiles", True).text(folder, wholetext=True)
     root = folder.split("://")[-1].removeprefix("file:").rstrip("/") + "/"
     # the metadata path is percent-encoded, where a plus is a plus
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     relative = F.substring(path, F.locate(root, path) + len(root), F.length(path))
-    return files.where(F.is_valid_utf8("value")).select(relative.alias("filepath_saved"), F.col("value").alias("html"))
+    readable = F.is_valid_utf8("value")
+    return files.select(relative.alias("filepath_saved"), F.when(readable, F.col("value")).alias("html"), readable.alias("readable"))
+
+
+def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``filepath_saved, html`` of every readable file below ``folder``; ``unreadable_files`` tells of the others."""
+    return page_files(spark, folder).where("readable").drop("readable")
+
+
+def unreadable_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``filepath_saved`` of the files below ``folder`` that are not UTF-8 text."""
+    return page_files(spark, folder).where(~F.col("readable")).select("filepath_saved")
 
 
 def page_inventory(pages: DataFrame, downloaded_at: str | Column) -> DataFrame:
@@ -43,28 +56,58 @@ def page_inventory(pages: DataFrame, downloaded_at: str | Column) -> DataFrame:
     )
 
 
-def append_log(log: DataFrame, path: str) -> None:
-    """Append rows to the log table."""
-    log.select("url", "downloaded_at", "filesize_bytes", "filepath_saved").write.mode("append").options(**CSV).csv(path)
+def append_log(log: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """Append rows to the log table, in the order of the given columns if there are any."""
+    placed = log if order is None else log.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed.select("url", "downloaded_at", "filesize_bytes", "filepath_saved").write.mode("append").options(**CSV).csv(path)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).options(**CSV).option("multiLine", True).csv(path)
+def read_log(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
+    """The log's rows; ``numbered`` adds ``seq``, their place in the order of appending."""
+    log = spark.read.schema(LOG_SCHEMA).options(**CSV).option("multiLine", True).csv(path)
+    return in_file_order(log) if numbered else log
 
 
-def latest_pages(pages: DataFrame, order: list[str]) -> DataFrame:
+def latest_pages(pages: DataFrame, order: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
     """One row per ``filepath_saved``: the last one by ``order``, which must make rows of a path distinct.
 
-    Winners and losers are found on the narrow columns, with map-side maxima. The losers are few; they are sent to the
-    pages while they are measured to fit, and then no whole page moves.
+    Winners and losers are found on the narrow columns, with map-side maxima. While the losers are measured to fit
+    ``limit`` they are sent to the pages, and no page moves. Beyond that a bitmap of their hashes, of a fixed size, tells
+    which pages may be losers; only those are joined with them, the others pass where they lie.
     """
     narrow = pages.select("filepath_saved", *order)
     winner = narrow.groupBy("filepath_saved").agg(F.max(F.struct(*order)).alias("_last"), F.count(F.lit(1)).alias("_n"))
     several = winner.where(F.col("_n") > 1).select("filepath_saved", "_last")
     losers = narrow.join(several, "filepath_saved").where(F.struct(*order) < F.col("_last"))
     losers = written(losers.select("filepath_saved", *order), "overwritten")
-    side = F.broadcast(losers) if fits_broadcast(losers) else losers
-    return pages.join(side, ["filepath_saved", *order], "left_anti")
+    keys = ["filepath_saved", *order]
+    if fits_broadcast(losers, limit):
+        return pages.join(F.broadcast(losers), keys, "left_anti").select(*pages.columns)
+    placed = pages.withColumn("_spot", _spot(keys))
+    bitmaps = written(hashed_bitmaps(losers.select(_spot(keys).alias("_spot"))), "bitmaps")
+    marked = placed.withColumn("_bucket", F.bitmap_bucket_number("_spot")).join(F.broadcast(bitmaps), "_bucket", "left")
+    suspected = F.coalesce(bit_at("_bits", F.bitmap_bit_position("_spot")), F.lit(False))
+    own = [F.col(c) for c in pages.columns]
+    passed = marked.where(~suspected).select(*own)
+    return passed.unionByName(marked.where(suspected).select(*own).join(losers, keys, "left_anti").select(*pages.columns))
+
+
+def _spot(keys: list[str]) -> Column:
+    """A row's place among the bits of all bitmaps, from 1."""
+    return F.pmod(F.xxhash64(*keys), F.lit(BITMAP_BITS)) + 1
+
+
+def hashed_bitmaps(spots: DataFrame) -> DataFrame:
+    """``_bucket, _bits``: bitmaps of the spots that occur. There are BITMAP_BITS bits in all, so the table has a fixed
+    greatest size (16 MB) however many spots there are."""
+    placed = spots.select(F.bitmap_bucket_number("_spot").alias("_bucket"), F.bitmap_bit_position("_spot").alias("_bit"))
+    return placed.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+
+
+def bit_at(bits: str, position: Column) -> Column:
+    """Whether a bit of a bitmap is set; null without a bitmap."""
+    byte = F.conv(F.hex(F.substring(F.col(bits), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    return F.get(F.array(*[byte.bitwiseAND(1 << b) != 0 for b in range(8)]), (position % 8).cast("int"))
 
 
 def path_collisions(pages: DataFrame, order: list[str]) -> DataFrame:
@@ -89,18 +132,34 @@ def write_queue(frontier: DataFrame, path: str) -> None:
 
 
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
-    """``url, seq`` in file order; lines are trimmed, blanks and repeats dropped."""
-    lines = spark.read.text(path).select(
-        strip_space(F.col("value")).alias("url"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    return queue_of(lines.where(F.col("url") != ""), ["file", "block", "line"])
-
-
-def read_robots(spark: SparkSession, path: str, host: str | None = None) -> DataFrame:
-    """``host, text`` of a robots file; without a host its rules hold for every URL."""
+    """``url, seq`` in the order of writing; lines are trimmed, blanks and repeats dropped."""
+    lines = in_file_order(spark.read.text(path), "line")
+    cleaned = lines.select(strip_space(F.col("value")).alias("url"), "line")
+    return queue_of(cleaned.where(F.col("url") != ""), ["line"])
+
+
+def save_queue(frontier: DataFrame, path: str) -> None:
+    """Store the queue with its numbers as a new version below ``path``. It takes the place of the former one when its row
+    of the table of versions is appended, so a reader, or a crawl that is broken off, never sees half a queue."""
+    spark = frontier.sparkSession
+    version = uuid.uuid4().hex
+    frontier.select("url", "seq").write.parquet(f"{path}/queues/{version}")
+    row = spark.createDataFrame([(version,)], "version string").withColumn("saved_at", F.current_timestamp())
+    row.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+
+
+def load_queue(spark: SparkSession, path: str) -> DataFrame:
+    """``url, seq`` of the newest finished version; an empty queue where none was saved."""
+    versions = read_if_there(spark, f"{path}/versions", VERSIONS_SCHEMA)
+    newest = versions and versions.orderBy(F.desc("saved_at"), "version").first()
+    if newest is None:
+        return spark.createDataFrame([], QUEUE_SCHEMA)
+    return spark.read.schema(QUEUE_SCHEMA).parquet(f"{path}/queues/{newest.version}")
+
+
+def read_robots(spark: SparkSession, path: str, host: str | Column | None = None) -> DataFrame:
+    """``host, text`` of robots files; without a host their rules hold for every URL. For a folder of many hosts, ``host`` is
+    a column: that of its partitions, or one made from ``_metadata``."""
     return spark.read.text(path, wholetext=True).select(
         F.lit(host).cast("string").alias("host"), F.col("value").alias("text")
     )

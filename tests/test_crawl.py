@@ -78,7 +78,7 @@ def test_delay_values_follow_python(spark):
 @pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, -1])
 def test_prefix_rules(spark, rows, monkeypatch, limit):
     monkeypatch.setattr(joins.lookup_join, "__defaults__", ("inner", "", limit))
-    monkeypatch.setattr(joins, "HOT_ROWS", 2)
+    monkeypatch.setattr(joins, "PART_ROWS", 2)
     rules = spark.createDataFrame(
         [("h", 0, "disallow", "/x"), ("g", 0, "disallow", "/a/"), (None, 0, "disallow", "/never"), ("h", 1, "delay", "/ok")],
         RULES_SCHEMA,
@@ -163,9 +163,10 @@ def test_whole_crawl_equals_the_queue_loop(spark, seed, budget):
     assert result.fetched == summary.pages_fetched
 
 
-def test_a_large_budget_is_cut_by_numbering(spark, monkeypatch):
+def test_a_budget_is_cut_by_counting_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(frontier_module, "fits_broadcast", lambda df, limit=0: False)
-    monkeypatch.setattr(ordering, "HEAP_ROWS", 1)
+    monkeypatch.setattr(frontier_module, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(ordering, "RANGES", 2)
     site = site_of(4)
     pages, frontier, rules = tables(spark, site, SEEDS)
     result = crawl(pages, frontier, rules, 9, "h")

@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +55,9 @@ def test_all_fields(spark):
     assert got == [FIELDS, empty, {**FIELDS, "contry": "Bland"}, FIELDS]
 
 
+BLOCK = '<dt>Country</dt>\n<dd class="c">\n{}\n</dd>\n'
+
+
 @pytest.mark.parametrize(
     "html,country",
     [
@@ -61,12 +67,37 @@ def test_all_fields(spark):
             '<dt>Countries</dt><dd class="c">\n <a href="/fr">France</a> <a href="/de">Germany</a>\n</dd>',
             'France</a> <a href="/de">Germany',
         ),
+        # the first block that fits counts, whatever lies before it
+        (BLOCK.format("plain") + BLOCK.format('<a href="/x">Xland</a>'), "Xland"),
+        (BLOCK.format("a\nb") + "<p>x</p></dd>" + BLOCK.format('<a href="/x">Xland</a>\n<a href="/y">Y</a>'), "Y"),
+        (BLOCK.format('<a href="/x">Xland</a>') + BLOCK.format('<a href="/y">Y</a>'), "Xland"),
+        (BLOCK.format("") + BLOCK.format('<a href="/y">Y</a>'), ""),
+        ('<dt>Country</dt>\n<dd class="c">\n text' + BLOCK.format('<a href="/x">Xland</a>'), "Xland"),
+        (BLOCK.format("plain"), ""),
+        ('<dt>Country</dt>\n<dd class="c">\n<a href="/x">Xland</a>\n', ""),
+        ("<dd x></dd>" * 3 + '<dt class="t">\n Countries\n</dt>\n\n<dd id="1" class="c">\n<a>A</a></dd>', "A"),
     ],
 )
 def test_country_variants(spark, html, country):
     assert extracted(spark, html)[0]["contry"] == country
 
 
+def test_countries_of_a_long_list_and_of_many_blocks(spark):
+    long = "\n".join(f'<a href="/{i}">C{i}</a>' for i in range(20_000))
+    assert extracted(spark, BLOCK.format(long))[0]["contry"] == "C19999"
+    assert extracted(spark, BLOCK.format("plain") * 3_000 + BLOCK.format("<a>Z</a>"))[0]["contry"] == "Z"
+
+
+def test_blocks_are_found_as_by_the_pattern_itself(spark):
+    pattern = re.compile(FIELD_RULES["contry"])
+    rng = random.Random(4)
+    bits = ["<dt>Country</dt>", "<dt c>\nCountries </dt>", "\n", '<dd class="c">', "</dd>", "<a>A</a>", '<a href="/b">B</a>', " ", "text", "<p>"]
+    htmls = ["".join(rng.choices(bits, k=rng.randint(3, 14))) for _ in range(600)]
+    for html, got in zip(htmls, extracted(spark, *htmls), strict=True):
+        found = pattern.search(html)
+        assert got["contry"] == ((found and found[1]) or "").strip(), html
+
+
 def test_long_description(spark):
     text = "word <b>x</b>\n" * 10_000
     got = extracted(spark, f'<div class="intro-text text-lead">{text}</div>')[0]["description"]
@@ -89,8 +120,7 @@ def test_page_class(spark):
 
 @pytest.mark.parametrize("hot_rows", [1, 100_000])
 def test_log_rows_become_records(spark, rows, monkeypatch, hot_rows):
-    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
-    monkeypatch.setattr(joins, "HOT_SHARE", 10)
+    monkeypatch.setattr(joins, "PART_ROWS", hot_rows)
     log = spark.createDataFrame(
         [("u1", "t", 1, "list/a/index.html")] * 3 + [("u2", "t", 1, "list/gone/index.html"), ("u3", "t", 1, "about.html")],
         "url string, downloaded_at string, filesize_bytes bigint, filepath_saved string",

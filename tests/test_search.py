@@ -167,8 +167,7 @@ def test_weights_of_postings_and_of_pairs(spark, monkeypatch):
     corpus = Corpus(texts)
     searcher = Searcher(indexed(spark, texts))
     # every term above two documents counts as hot and is split
-    monkeypatch.setattr(search_module, "HOT_ROWS", 2)
-    monkeypatch.setattr(search_module, "HOT_SHARE", 10_000)
+    monkeypatch.setattr(joins, "PART_ROWS", 2)
     got = {(r.term, r.doc_id): (r.tfidf_classic, r.tfidf_smooth) for r in searcher.weights().collect()}
     assert len(got) == sum(len(c) for c in corpus.counts.values())
     for (term, d), (classic, smooth) in got.items():
@@ -234,7 +233,7 @@ def test_stored_index_round_trip_and_rebuild(spark, tmp_path, rows):
 def test_search_reads_only_the_folders_of_its_terms(spark, tmp_path):
     searcher = Searcher(save_index(indexed(spark, random_texts(2)), str(tmp_path / "index"), buckets=16))
     plan = searcher.search("fox")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(bucket" in plan
+    assert "PartitionFilters: [isnotnull(_bucket" in plan
     assert "term IN (fox)" in plan or "(term#" in plan
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
@@ -246,13 +245,3 @@ def test_invariants(spark):
     assert index.postings.groupBy().sum("tf").first()[0] == index.doc_lengths.groupBy().sum("doc_len").first()[0]
     assert index.term_df.where(f"df > {n}").count() == 0
     assert sum(len(words(t)) for t in texts.values()) == index.term_df.groupBy().sum("occurrences").first()[0]
-
-
-def test_hot_split_join_equals_plain_join(spark, monkeypatch, rows):
-    monkeypatch.setattr(joins, "HOT_ROWS", 10)
-    left = spark.range(300).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 50)) k", "id")
-    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, v int")
-    for how in ("inner", "left", "left_anti"):
-        assert joins.hot_keys(left, "k") == ["hot"]
-        assert rows(joins.hot_split_join(left, right, "k", how, "id")) == rows(left.join(right, "k", how))
-        assert rows(joins.lookup_join(left, right, "k", how, "id", limit=0)) == rows(left.join(right, "k", how))

@@ -2,10 +2,18 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from pagequarry.operators.extract import extract_records
 from pagequarry.plans import storage
 from pagequarry.sources import pages as src
 from pagequarry.sources.records import COLUMNS, read_records, write_records
-from pagequarry.streaming.intake import first_seen, first_seen_within, read_page_stream, start_intake
+from pagequarry.streaming.intake import (
+    first_seen,
+    first_seen_within,
+    read_intake,
+    read_page_stream,
+    start_first_copies,
+    start_intake,
+)
 
 ODD = ['he said "hi", twice', "a\nb", "back\\slash", "", "é,;", '"', "x\\"]
 
@@ -95,3 +103,82 @@ def test_shared_folder_comes_from_the_session(spark):
     assert storage.fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/pagequarry/x-")
     back = storage.written(spark.range(5), "five")
     assert back.count() == 5 and back.inputFiles()[0].find("/pagequarry/five-") > 0
+
+
+def test_rows_are_numbered_in_the_order_of_appending(spark, tmp_path):
+    path, schema = str(tmp_path / "log"), "url string, downloaded_at string, filesize_bytes bigint, filepath_saved string"
+    urls = [f"http://h/{(i * 7919) % 500}" for i in range(500)]
+    for part in (urls[:300], urls[300:320], urls[320:], urls[:40]):
+        rows = [(u, "t", i, "f\n,\"x") for i, u in enumerate(part)]
+        log = spark.createDataFrame(rows, schema).repartition(7)
+        src.append_log(log, path, ["filesize_bytes"])
+    back = src.read_log(spark, path, numbered=True).orderBy("seq").collect()
+    assert [(r.seq, r.url) for r in back] == list(enumerate(urls + urls[:40]))
+    assert src.read_log(spark, path).columns == back[0].__fields__[:-1]
+
+
+def test_file_numbers_are_numbers(spark, tmp_path):
+    write = "0f0f0f0f-0f0f-0f0f-0f0f-0f0f0f0f0f0f"
+    for number in (99_999, 100_000, 5):
+        (tmp_path / f"part-{number:05d}-{write}-c000.txt").write_text(f"{number}\n")
+    back = src.read_queue(spark, str(tmp_path)).orderBy("seq").collect()
+    assert [r.url for r in back] == ["5", "99999", "100000"]
+
+
+def test_records_keep_the_order_of_the_log(spark, tmp_path):
+    log = spark.createDataFrame([(f"u{i}", f"list/{i % 3}/index.html", i) for i in range(30)], "url string, filepath_saved string, seq bigint")
+    html = [(f"list/{i}/index.html", f'<h1 class="primary_title">N{i}</h1>') for i in range(3)]
+    pages = spark.createDataFrame(html, "filepath_saved string, html string")
+    records = extract_records(log.repartition(4).unionByName(log), pages)
+    path = str(tmp_path / "records")
+    write_records(records, path, ["seq", "url"])
+    back = read_records(spark, path, ["url", "name"], numbered=True).orderBy("seq").collect()
+    assert [(r.url, r.name) for r in back] == [(f"u{i}", f"N{i % 3}") for i in range(30) for _ in range(2)]
+    assert sorted(r.seq for r in extract_records(log.unionByName(log), pages, dedupe=True).collect()) == list(range(30))
+
+
+def test_unreadable_files_are_named(spark, tmp_path):
+    (tmp_path / "good.html").write_text("é")
+    (tmp_path / "bad.html").write_bytes(b"\xff\xfe")
+    assert [r.filepath_saved for r in src.unreadable_files(spark, str(tmp_path)).collect()] == ["bad.html"]
+    assert [r.html for r in src.read_page_files(spark, str(tmp_path)).collect()] == ["é"]
+
+
+@pytest.mark.parametrize("bits", [8, 1 << 20])
+def test_many_losers_move_only_suspected_pages(spark, rows, monkeypatch, bits):
+    monkeypatch.setattr(src, "BITMAP_BITS", bits)
+    data = [(f"p{i % 400}" if i % 4 else "hot", i, "t", f"page {i}") for i in range(1_000)]
+    pages = spark.createDataFrame(data, "filepath_saved string, page_id int, at string, html string").repartition(4)
+    kept = src.latest_pages(pages, ["at", "page_id"], limit=0)
+    assert kept.columns == pages.columns
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert rows(kept) == rows(src.latest_pages(pages, ["at", "page_id"]))
+    # the one exchange of whole pages lies behind the test of the bitmap
+    assert plan.count("Union") == 1 and "NOT coalesce" in plan
+
+
+def test_the_newest_queue_is_loaded(spark, tmp_path, rows):
+    path = str(tmp_path / "queue")
+    assert src.load_queue(spark, path).count() == 0
+    for n in (3, 5, 0):
+        src.save_queue(spark.createDataFrame([(f"u{i}", i + 7) for i in range(n)], src.QUEUE_SCHEMA), path)
+        assert rows(src.load_queue(spark, path)) == [(f"u{i}", i + 7) for i in range(n)]
+    # a version that was not finished does not count
+    spark.createDataFrame([("half", 0)], src.QUEUE_SCHEMA).write.parquet(f"{path}/queues/broken")
+    assert src.load_queue(spark, path).count() == 0
+
+
+def test_the_first_copy_of_each_url_stays(spark, tmp_path):
+    source, sink, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    first, seen = {}, set()
+    for ids in (range(10, 60), range(0, 80), range(70, 100)):
+        batch = [(i, "hot" if i % 2 else f"u{i % 35}", f"html {i}") for i in ids]
+        for i, url, html in sorted(batch):
+            if url not in seen:
+                first.setdefault(url, (i, html))
+        seen |= {url for _, url, _ in batch}
+        pages = spark.createDataFrame(batch, "page_id bigint, url string, html string")
+        pages.repartition(3).write.mode("append").parquet(source)
+        start_first_copies(read_page_stream(spark, source), sink, state).awaitTermination()
+    got = read_intake(spark, sink).collect()
+    assert {r.url: (r.page_id, r.html) for r in got} == first and len(got) == len(first)

@@ -4,7 +4,7 @@ Tokens are byte ranges. ``pandas.merge_asof``, keyed by document, finds for the
 side that covers it; both directions together give every overlap once. Places where tokens of both sides end cut a text into
 groups.
 
-Two passes. The first works on slices of the table (a few megabytes of texts each): it encodes, aligns, and lists the
+Two passes. The first works on slices of the table (a megabyte of texts each): it encodes, aligns, and lists the
 distinct id pairs of the slice with the number of documents that hold each. A document keeps its links as positions in its
 slice's list, sorted, as gaps in one or two bytes. The counts of the lists are summed by pair over the corpus and compared
 with the highest count of their first id; the second pass joins them back to the lists, brings list and documents of a slice
@@ -36,7 +36,7 @@ from .bpe import read_spec, tokenizer
 from .piece_bpe import piece_model
 from .shipping import map_batches, ship
 
-SLICE_BYTES = 4 * 1024 * 1024
+SLICE_BYTES = 1024 * 1024
 # columns of the first pass besides the counts
 SLICE, LINKS, LIST = "__alignment_slice", "__alignment_links", "__alignment_list"
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -133,12 +133,16 @@ def align_slice(texts: list[str], a: Side, b: Side) -> dict:
     ends_a, ends_b = np.cumsum(a.sizes[all_a]), np.cumsum(b.sizes[all_b])
     starts_a, starts_b = ends_a - a.sizes[all_a], ends_b - b.sizes[all_b]
 
-    common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
-    last_a, last_b = np.isin(ends_a, common, assume_unique=True), np.isin(ends_b, common, assume_unique=True)
+    # marks per byte: where tokens of both sides end, a group does
+    marks = np.zeros((2, 1 + (int(ends_a[-1]) if len(ends_a) else 0)), dtype=bool)
+    marks[0, ends_a] = marks[1, ends_b] = True
+    common = marks[0] & marks[1]
+    last_a, last_b = common[ends_a], common[ends_b]
+    group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    of_a, of_b = np.bincount(group_a), np.bincount(group_b)
     # A's part of a group comes first: tokens of the other side in earlier groups, or up to this one, stand before
-    spots_a = np.arange(len(all_a)) + np.searchsorted(group_b, group_a)
-    spots_b = np.arange(len(all_b)) + np.searchsorted(group_a, group_b, side="right")
+    spots_a = np.arange(len(all_a)) + (np.cumsum(of_b) - of_b)[group_a]
+    spots_b = np.arange(len(all_b)) + np.cumsum(of_a)[group_b]
     words = np.empty(len(all_a) + len(all_b), dtype=object)
     words[spots_a] = np.where(last_a, a.outer[all_a], a.inner[all_a])
     words[spots_b] = np.where(last_b, b.outer[all_b], b.inner[all_b])

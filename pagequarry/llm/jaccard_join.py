@@ -65,6 +65,12 @@ def band_top(band: int) -> int:
     return SINGLE - 1 if band == 0 else int(2 * band * SEGMENT_LOAD) - 1
 
 
+def dense_words(size: int) -> int:
+    """Words of the dense sketch of a set: a power of two, so that sketches of linked sets differ in length by one fold at
+    most, and long enough for sets of that size that have little in common to differ in more bits than linked ones may."""
+    return max(DENSE_WORDS, 1 << max(0, -(-size // 64) - 1).bit_length())
+
+
 class ShingleSet:
     """A document's set as spots in the sketch, in two independent scrambles of the shingles' hashes."""
 
@@ -81,8 +87,8 @@ class ShingleSet:
         return tuple(mix(both, self.size).view(np.int64).tolist())
 
     def dense(self) -> np.ndarray:
-        """Parity of the spots folded to DENSE_WORDS * 64 bits."""
-        width = DENSE_WORDS * 64
+        """Parity of the spots folded to as many bits as there are shingles, DENSE_WORDS * 64 at least."""
+        width = dense_words(self.size) * 64
         counts = np.bincount((self.spots >> U(40)).astype(np.int64) % width, minlength=width)
         return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
@@ -266,7 +272,8 @@ def _verified(pairs: DataFrame, profiles: DataFrame, texts: DataFrame, width: in
     left = profiles.select(F.col("h").alias("lead"), F.col("n").alias("_n1"), F.col("sketch").alias("_s1"))
     right = profiles.select("h", F.col("n").alias("_n2"), F.col("sketch").alias("_s2"))
     sized = pairs.join(left, "lead").join(right, "h")
-    near = sized.where(_may_link("_n1", "_n2", percent) & _within(_hamming("_s1", "_s2"), "_n1", "_n2", percent))
+    # the sizes come first, so that only sketches of sets of like size are held against each other
+    near = sized.where(_may_link("_n1", "_n2", percent)).where(_within(_hamming("_s1", "_s2"), "_n1", "_n2", percent))
     near = written(near.select("lead", "h", "_n1", "_n2"), "candidates")
 
     # each document goes to the first one it hangs from; a first one with many is sent to several parts
@@ -325,9 +332,15 @@ def _may_link(n1: str, n2: str, percent: int) -> Column:
 
 
 def _hamming(a: str, b: str) -> Column:
-    """Bits that differ in two dense sketches."""
-    words = range(DENSE_WORDS)
-    return sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in words), F.lit(0))
+    """Bits that differ in two dense sketches; the longer one is folded to the length of the other, which is half of its own."""
+    words = F.least(F.size(a), F.size(b))
+
+    def folded(s: str) -> Column:
+        halves = F.transform(F.slice(s, F.lit(1), words), lambda x, i: x.bitwiseXOR(F.get(s, i + words)))
+        return F.when(F.size(s) > words, halves).otherwise(F.col(s))
+
+    differing = F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(differing, F.lit(0), lambda n, x: n + x)
 
 
 def jaccard_components(
@@ -413,17 +426,17 @@ def keep_one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     verdicts = jaccard_components(docs, doc_id, text, **options)
     known = F.col("component_id").isNotNull()
     losing = known & (F.col("_id").isNull() | (F.col("component_id") < F.col("_id")))
-    losers = verdicts.where(losing).select(F.coalesce("_id", F.lit(-1)).alias("_i"), F.col("_id").isNull().alias("_none"), "_t")
+    losers = verdicts.where(losing).select(F.coalesce("_id", F.lit(-1)).alias("__near_id"), F.col("_id").isNull().alias("__near_none"), F.col("_t").alias("__near_text"))
     losers = written(losers.distinct(), "losers")
     id_of = F.col(doc_id).cast("bigint")
-    keyed = docs.withColumns({"_i": F.coalesce(id_of, F.lit(-1)), "_none": id_of.isNull(), "_t": F.xxhash64(text)})
+    keyed = docs.withColumns({"__near_id": F.coalesce(id_of, F.lit(-1)), "__near_none": id_of.isNull(), "__near_text": F.xxhash64(text)})
     side = F.broadcast(losers) if fits_broadcast(losers) else losers
-    kept = keyed.join(side, ["_i", "_none", "_t"], "left_anti")
-    repeated = kept.groupBy("_i", "_none").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    repeated = written(repeated.select("_i", "_none"), "repeated-ids")
+    kept = keyed.join(side, ["__near_id", "__near_none", "__near_text"], "left_anti")
+    repeated = kept.groupBy("__near_id", "__near_none").agg(F.count(F.lit(1)).alias("__near_rows")).where(F.col("__near_rows") > 1)
+    repeated = written(repeated.select("__near_id", "__near_none"), "repeated-ids")
     if repeated.isEmpty():
         return kept.select(*docs.columns)
     few = F.broadcast(repeated) if fits_broadcast(repeated) else repeated
-    once = kept.join(few, ["_i", "_none"], "left_semi").dropDuplicates(["_i", "_none", "_t"])
-    rest = kept.join(few, ["_i", "_none"], "left_anti")
+    once = kept.join(few, ["__near_id", "__near_none"], "left_semi").dropDuplicates(["__near_id", "__near_none", "__near_text"])
+    rest = kept.join(few, ["__near_id", "__near_none"], "left_anti")
     return rest.select(*docs.columns).unionByName(once.select(*docs.columns))

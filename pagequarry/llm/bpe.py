@@ -66,7 +66,7 @@ def character_classes() -> tuple[bytes, bytes]:
     return bytes(letters), bytes(numbers)
 
 
-def _set_of(table: bytes) -> str:
+def set_of(table: bytes) -> str:
     """Marked code points as the inside of a character class."""
     return "".join(
         rf"\U{m.start():08x}" + (rf"-\U{m.end() - 1:08x}" if len(m[0]) > 1 else "") for m in re.finditer(b"\1+", table)
@@ -75,8 +75,8 @@ def _set_of(table: bytes) -> str:
 
 def pre_token_pattern(last: int = 0x10FFFF) -> re.Pattern:
     """PRE_TOKENS for texts of characters up to ``last``, with the classes written out."""
-    letters, numbers = (_set_of(table[: last + 1]) for table in character_classes())
-    spaces = _set_of(bytes(bool(regex.match(r"\s", chr(c))) for c in range(min(last, 0x3000) + 1)))
+    letters, numbers = (set_of(table[: last + 1]) for table in character_classes())
+    spaces = set_of(bytes(bool(regex.match(r"\s", chr(c))) for c in range(min(last, 0x3000) + 1)))
     pattern = PRE_TOKENS.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]")
     pattern = pattern.replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
     return re.compile(pattern.replace(r"(?!\S)", f"(?![^{spaces}])").replace(r"\s", f"[{spaces}]"))
@@ -94,22 +94,22 @@ class Kept(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if self.worth_keeping(key):
-            if len(self) >= self.limit:
-                self.old = dict(self)
-                self.clear()
-            self[key] = value
+        self.keep(key, value)
         return value
 
-    def worth_keeping(self, key) -> bool:
-        return True
+    def keep(self, key, value) -> None:
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
 
 
 class KeptTexts(Kept):
     """Only short pieces of text come again often enough to be kept."""
 
-    def worth_keeping(self, key) -> bool:
-        return len(key) <= KEPT_LENGTH
+    def keep(self, key, value) -> None:
+        if len(key) <= KEPT_LENGTH:
+            super().keep(key, value)
 
 
 class Tokenizer:

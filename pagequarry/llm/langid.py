@@ -14,6 +14,7 @@ or null id are never learned from; equal sizes go to the least language name; wi
 """
 
 import re
+import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import add_columns, texts_of
+from .bpe import character_classes, set_of
 
 SAMPLE_DOCS = 150
 SAMPLE_CHARS = 1_200
@@ -33,7 +35,13 @@ BLOCK = 2_048
 LEVEL = 6
 MARGIN = 0.002
 UNDETERMINED = "und"
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+
+@lru_cache(maxsize=1)
+def _patterns() -> tuple[re.Pattern, re.Pattern]:
+    """What is neither a letter nor a mark on one, and a letter."""
+    table, _ = character_classes()
+    marked = bytes(table[c] or unicodedata.category(chr(c))[0] == "M" for c in range(len(table)))
+    return re.compile(f"[^{set_of(marked)}]+"), re.compile(f"[{set_of(table)}]")
 
 
 def held_out(doc_id: str = "doc_id", folds: int = FOLDS) -> Column:
@@ -42,8 +50,10 @@ def held_out(doc_id: str = "doc_id", folds: int = FOLDS) -> Column:
 
 
 def letters(text: str) -> str:
-    """Lower-cased words without digits and signs, one space between them."""
-    return _NOT_LETTERS.sub(" ", text.lower()).strip()
+    """Lower-cased words of letters with their marks, without numbers and signs, one space between them; empty without a
+    letter."""
+    others, letter = _patterns()
+    return others.sub(" ", text.lower()).strip() if letter.search(text) else ""
 
 
 @dataclass(frozen=True)

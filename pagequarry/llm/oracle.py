@@ -75,20 +75,20 @@ WITH RECURSIVE rules(rh, rp, rv) AS (
     ('net', '/es/', 'block'), ('net', '/fr/', 'block')
 ),
 tags AS (
-  SELECT url, regexp_extract(html, '(?is)<link\s[^>]*rel\s*=\s*["'']?canonical["''\s>][^>]*>?') AS link,
-    regexp_extract(html, '(?is)<meta\s[^>]*http-equiv\s*=\s*["'']?refresh["''\s>][^>]*>?') AS meta FROM pages
+  SELECT url, regexp_extract(html, '(?is)<link\s[^<>]*rel\s*=\s*["'']?canonical["''\s>][^<>]*>?') AS link,
+    regexp_extract(html, '(?is)<meta\s[^<>]*http-equiv\s*=\s*["'']?refresh["''\s>][^<>]*>?') AS meta FROM pages
 ),
 named AS (
   SELECT url, regexp_extract(link, '(?is)\shref\s*=\s*["'']?([^"''\s>]+)', 1) AS target FROM tags
   UNION ALL SELECT url, regexp_extract(meta, '(?is)url\s*=\s*["'']?([^"''\s>]+)', 1) FROM tags
 ),
 edges AS MATERIALIZED (
-  SELECT regexp_extract(url, '(?s)^[^#]*') AS a, regexp_extract(replace(target, '&amp;', '&'), '(?s)^[^#]*') AS b
+  SELECT regexp_extract(url, '(?s)^.*?://[^#]*') AS a, regexp_extract(replace(target, '&amp;', '&'), '(?s)^.*?://[^#]*') AS b
   FROM named WHERE contains(url, '://') AND contains(target, '://')
 ),
 both_ways AS MATERIALIZED (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
 nodes AS (
-  SELECT regexp_extract(url, '(?s)^[^#]*') AS node FROM pages WHERE contains(url, '://') UNION SELECT b FROM edges
+  SELECT regexp_extract(url, '(?s)^.*?://[^#]*') AS node FROM pages WHERE contains(url, '://') UNION SELECT b FROM edges
 ),
 parts AS MATERIALIZED (
   SELECT node, translate(regexp_extract(node, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -105,7 +105,7 @@ by_alias AS (SELECT reach.a AS node, min(best.verdict) AS verdict FROM reach JOI
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, best.rule AS rule,
   coalesce(best.verdict, by_alias.verdict, 'allow') AS verdict
 FROM pages
-LEFT JOIN parts ON contains(url, '://') AND parts.node = regexp_extract(url, '(?s)^[^#]*')
+LEFT JOIN parts ON contains(url, '://') AND parts.node = regexp_extract(url, '(?s)^.*?://[^#]*')
 LEFT JOIN ruled ON parts.node = ruled.node LEFT JOIN by_alias ON parts.node = by_alias.node
 """
 

@@ -28,8 +28,9 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-CANONICAL = r"(?is)<link\s[^>]*rel\s*=\s*[\"']?canonical[\"'\s>][^>]*"
-REFRESH = r"(?is)<meta\s[^>]*http-equiv\s*=\s*[\"']?refresh[\"'\s>][^>]*"
+# a tag ends where the next one begins at the latest, so the time is linear in the page
+CANONICAL = r"(?is)<link\s[^<>]*rel\s*=\s*[\"']?canonical[\"'\s>][^<>]*"
+REFRESH = r"(?is)<meta\s[^<>]*http-equiv\s*=\s*[\"']?refresh[\"'\s>][^<>]*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -50,8 +51,9 @@ def path_of(url: str) -> Column:
 
 
 def node_of(url: str) -> Column:
-    """A URL as a node of the link graph: without fragment, scheme and host in lower case; null where there is no ``://``."""
-    whole = F.regexp_extract(F.col(url), r"(?s)^[^#]*", 0)
+    """A URL as a node of the link graph: scheme and host in lower case, without what follows a ``#`` behind the host; null
+    where there is no ``://``."""
+    whole = F.regexp_extract(F.col(url), r"(?s)^.*?://[^#]*", 0)
     head = F.regexp_extract(F.col(url), r"^[^/?#]*?://[^/?#]*", 0)
     lowered = F.concat(F.translate(head, UPPER, LOWER), F.substring(whole, F.length(head) + 1, F.length(whole)))
     return F.when(F.contains(F.col(url), F.lit("://")), lowered)

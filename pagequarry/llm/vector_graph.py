@@ -45,10 +45,17 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
 
+def _scaled(matrix: np.ndarray) -> np.ndarray:
+    """Rows scaled by powers of two, so that squares of very large and very small components neither overflow nor vanish;
+    that leaves their direction as it is, to the last bit."""
+    _, exponents = np.frexp(np.abs(matrix).max(axis=1, initial=0.0))
+    return np.ldexp(matrix, -exponents[:, None])
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """A list column of equally long lists as a matrix."""
+    """A list column of equally long lists as a matrix of scaled rows."""
     array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return array.flatten().to_numpy().astype(np.float64).reshape(len(array), -1)
+    return _scaled(array.flatten().to_numpy().astype(np.float64).reshape(len(array), -1))
 
 
 def fit_centroids(vectors: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -92,7 +99,7 @@ def assign_shards(nodes: DataFrame, centroids: dict[int, np.ndarray]) -> DataFra
                     for i in rows:
                         shards[i] = [-size]
                     continue
-                near = _unit(np.array([vectors[i] for i in rows], dtype=np.float64)) @ centroids[size].T
+                near = _unit(_scaled(np.array([vectors[i] for i in rows], dtype=np.float64))) @ centroids[size].T
                 width = min(OVERLAP, near.shape[1])
                 best = np.sort(np.argpartition(-near, width - 1, axis=1)[:, :width], axis=1) + base[size]
                 for i, found in zip(rows, best.tolist(), strict=True):
@@ -314,7 +321,7 @@ def near_duplicates(
     for v in sample.column(0).to_pylist():
         by_size.setdefault(len(v), []).append(v)
     k = min(MOST_CENTROIDS, max(1, -(-total * OVERLAP // SHARD_ROWS)))
-    centroids = {size: fit_centroids(np.array(v, dtype=np.float64), k) for size, v in by_size.items()}
+    centroids = {size: fit_centroids(_scaled(np.array(v, dtype=np.float64)), k) for size, v in by_size.items()}
 
     cells = written(deal_cells(assign_shards(nodes, centroids)), "cells")
     built = cells.groupBy("shard", "i", "j").applyInArrow(_build_cell, "node long, around array<long>")
@@ -348,7 +355,7 @@ def audit(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``node, _audited``: the links of AUDITED nodes counted against all vectors, in blocks; the recall of a run is the
     share of them that it found."""
     chosen = nodes.orderBy(F.xxhash64("_node", F.lit("audit")), "_node").limit(AUDITED).select("_node", "_vector", "_weight")
-    asked = [(r["_node"], np.array(r["_vector"]), r["_weight"]) for r in chosen.collect()]
+    asked = [(r["_node"], _scaled(np.array([r["_vector"]]))[0], r["_weight"]) for r in chosen.collect()]
 
     def run(batches):
         for batch in batches:
@@ -358,7 +365,7 @@ def audit(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             names, counts = [], []
             for size in set(sizes.tolist()):
                 rows = np.flatnonzero(sizes == size)
-                x = np.array([vectors[r] for r in rows])
+                x = _scaled(np.array([vectors[r] for r in rows]))
                 norms = np.sqrt(np.einsum("nd,nd->n", x, x))
                 for node, query, _ in asked:
                     if len(query) != size:

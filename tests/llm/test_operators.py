@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -110,6 +111,14 @@ def test_languages_are_told_apart_and_the_undecidable_is_refused(spark):
     assert langid.identify(docs, langid.fit(docs.limit(0))).first()["lang_pred"] == "und"
 
 
+def test_numbers_are_no_letters_and_marks_belong_to_words():
+    for text in ("½", "² ³", "Ⅷ", "12 !", "٣", "①", "\u0301", "_", "", "日"[:0]):
+        assert langid.letters(text) == ""
+    assert langid.letters("नमस्ते दुनिया!") == "नमस्ते दुनिया"
+    assert langid.letters("Été 2x² ab_c") == "été x ab c"
+    assert langid.classify("½", langid.Model((("aa", b"some words"),))) == ("und", 0.0)
+
+
 def test_sources_meet_their_targets(spark):
     rows = [(i, f"s{i % 4}" if i % 4 else None, prose(i, 5 + i % 30)) for i in range(400)] + [(7, "s3", None), (8, "empty", "")]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
@@ -255,6 +264,22 @@ def test_urls_follow_rules_and_aliases(spark):
     assert found[8][2:] == ("com/", "allow") and found[9][2:] == (None, "allow")  # an alias is allowed outright
 
 
+def test_a_fragment_begins_behind_the_host(spark):
+    pages = [(1, "x#y://foo.net/es/a", None), (2, "http://a.net#://b.com/es/", None), (3, "http://q.org/a?b#c", None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r["page_id"]: tuple(r)[2:] for r in url_filter.judge_urls(df.withColumn("x", F.lit(1)), url_filter.rule_table(spark)).drop("x").collect()}
+    assert found[1] == ("foo.net", "/es/a", "net/es/", "block")
+    assert found[2] == ("a.net", "", None, "allow") and found[3] == ("q.org", "/a", None, "allow")
+
+
+def test_links_of_a_page_full_of_open_tags_are_found_at_once(spark):
+    begun = time.monotonic()
+    html = "<link " * 200_000 + '<link rel="canonical" href="http://b.net/es/">' + "<meta " * 200_000
+    df = spark.createDataFrame([(1, "http://q.org/", html)], "page_id long, url string, html string")
+    assert [r.target for r in url_filter.page_links(df).collect()] == ["http://b.net/es/"]
+    assert time.monotonic() - begun < 20
+
+
 def test_aliases_may_differ_in_the_case_of_scheme_and_host(spark):
     blocked = '<link rel="canonical" href="http://blocked.net/es/a">'
     pages = [
@@ -292,6 +317,13 @@ def test_vectors_link_as_by_brute_force(spark, monkeypatch):
     assert found[305 + 145]["component_id"] == 5
 
 
+def test_vectors_of_any_length_link_by_direction(spark):
+    vectors = [[1e200, 0.0], [2e200, 0.0], [1e-200, 0.0], [1.0, 0.0], [3.0, 0.1], [0.0, 5e-324], [0.0, 1e308], [-1.0, 0.0]]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_graph.near_duplicates(df).collect()}
+    assert found == {**{i: (4, 0) for i in range(5)}, 5: (1, 5), 6: (1, 5), 7: (0, 7)}
+
+
 def test_surrogates_are_consistent_and_distinct(spark):
     lines = ["mail a.b@x.org or A.B@X.ORG", "call +1 (017) 555-7713 or +10175557713", "Mrs Anna Blum met Mr Otto Blum", "card 4111 1111 1111 1111", "at 10.0.0.1", 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"', "clean text, 12 words."]
     rows = [(i, t) for i, t in enumerate(lines)] + [(20, None), (21, ""), (22, lines[1])]

@@ -46,6 +46,8 @@ GUESSED_KEYS = 1_000_000
 # a key that is guessed in more documents than this is dealt with in several parts
 HOT_ROWS = 200_000
 PARTS = 64
+# so many of a document's least keys tell whether a pair meets in a lesser key too
+LOW_KEYS = 8
 # so many documents are compared with one other by one task
 PAIRS_AT_ONCE = 2_000
 
@@ -403,15 +405,21 @@ def _across(shared, checked, groups, profiles, texts, width: int, percent: int)
     leads = hung.select("lead", F.col("lead").alias("h"), "key", F.lit(0).cast("bigint").alias("apart")).distinct()
     known = hung.select("lead", "h", "key", "apart").unionByName(leads)
     known = known.join(group, "h", "left").join(profiles.select("h", "n", "sketch"), "h")
+    # a document has as many keys as its size calls for, so this list is bounded by its text
+    lows = known.groupBy("h").agg(F.slice(F.array_sort(F.collect_set("key")), 1, LOW_KEYS).alias("lows"))
+    known = known.join(lows, "h")
     known = written(known.withColumn("_group", F.coalesce("_group", "h")), "open")
-    columns = ("lead", "h", "n", "sketch", "_group", "apart")
+    columns = ("lead", "h", "n", "sketch", "_group", "apart", "lows")
     a, b = (known.select("key", *[F.col(c).alias(f"{c}{side}") for c in columns]) for side in (1, 2))
+    # a pair that meets in a lesser key as well is left to that one: near copies share most of their keys
+    elsewhere = F.exists("lows1", lambda k: (k < F.col("key")) & F.array_contains(F.col("lows2"), k))
     # two distances from the same document bound the one between them
     least_apart = F.when(F.col("lead1") == F.col("lead2"), F.abs(F.col("apart1") - F.col("apart2")))
     near = (
         a.join(b, "key")
         .where((F.col("h1") < F.col("h2")) & (F.col("_group1") != F.col("_group2")) & _may_link("n1", "n2", percent))
         .where(_within(F.coalesce(least_apart, F.lit(0)), "n1", "n2", percent))
+        .where(~elsewhere)
         .where(_within(_hamming("sketch1", "sketch2"), "n1", "n2", percent))
     )
     pairs = near.select(F.col("h1").alias("lead"), F.col("h2").alias("h")).distinct()

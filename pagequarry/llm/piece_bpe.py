@@ -79,20 +79,21 @@ def read_fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
-def parts_pattern(pieces: Collection[str]) -> re.Pattern:
-    """How a text may be cut into parts that nothing joins across, which follows from the pieces: before spaces, around line
-    ends, and between letters and other characters. A place where some piece runs across is left whole."""
+def parts_pattern(pieces: Collection[str], last: int = 0x10FFFF) -> re.Pattern:
+    """How a text of characters up to ``last`` may be cut into parts that nothing joins across, which follows from the pieces:
+    before spaces, around line ends, and between letters and other characters. A place where some piece runs across is
+    left whole."""
     letters = {c for piece in pieces for c in piece if c.isalpha()}
     inside = {pair for piece in pieces for pair in itertools.pairwise(piece)}
     if any(b == SPACE != a for a, b in inside):
         return re.compile("(?s).+")
     alone = "" if any("\n" in pair for pair in inside) else "\n"
     if any((a in letters) != (b in letters) for a, b in inside if SPACE not in (a, b)):
-        bodies = f"[^{SPACE}{alone}]+"
+        bodies = f"[^ {alone}]+"
     else:
-        known = "".join(map(re.escape, sorted(letters)))
-        bodies = f"(?:[{known}]+|[^{known}{SPACE}{alone}]+)"
-    return re.compile(f"{SPACE}*{bodies}|{SPACE}+" + (f"|{alone}" if alone else ""))
+        known = "".join(re.escape(c) for c in sorted(letters) if ord(c) <= last)
+        bodies = f"(?:[{known}]+|[^{known} {alone}]+)" if known else f"[^ {alone}]+"
+    return re.compile(f" *{bodies}| +" + (f"|{alone}" if alone else ""))
 
 
 class PieceModel:
@@ -145,8 +146,8 @@ class PieceModel:
                 self.automaton.add_word(text, (numbers[text], len(text)))
         self.automaton.make_automaton()
         self.compatible = Kept(self._pair, KEPT_PAIRS)
-        self.parts = KeptTexts(self.encode_part, KEPT_PARTS)
-        self.cut = parts_pattern(self.rank)
+        self.parts = KeptTexts(lambda part: self.encode_part(part.replace(" ", SPACE)), KEPT_PARTS)
+        self.cut, self.latin = parts_pattern(self.rank), parts_pattern(self.rank, 0xFF)
 
     def merged(self, text: str) -> list[str]:
         """Symbols of a short text after all merges, done one by one."""
@@ -191,7 +192,13 @@ class PieceModel:
         """Ids of a whole text, without begin and end, as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        return b"".join(map(self.parts.__getitem__, self.cut.findall(self.prefix + text.replace(" ", SPACE))))
+        # a space and its stand-in are one to the model
+        text = self.prefix.replace(SPACE, " ") + text.replace(SPACE, " ")
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return b"".join(map(self.parts.__getitem__, self.cut.findall(text)))
+        return b"".join(map(self.parts.__getitem__, self.latin.findall(text)))
 
     def framed(self, text: str) -> bytes:
         """Ids of a whole text between the begin and end ids."""

@@ -19,11 +19,14 @@ like an output, which replaces them; an empty table gives an empty result.
 """
 
 import hashlib
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -32,7 +35,7 @@ from pyspark.sql import types as T
 
 from ..plans.storage import written
 from .arrow import pieces, schema_with, texts_of, with_columns
-from .bpe import read_spec, tokenizer
+from .bpe import KEPT_PIECES, KeptTexts, Tokenizer, read_spec, tokenizer
 from .piece_bpe import piece_model
 from .shipping import map_batches, ship
 
@@ -60,9 +63,10 @@ def sides(spec_a: bytes, spec_b: bytes) -> tuple[Side, Side]:
     """Both tokenizers, built once per Python worker: the byte-level one reads a space and the text, the piece model puts
     that space there by itself."""
     a, b = tokenizer(spec_a), piece_model(spec_b)
+    pieces_a = KeptTexts(_piece_encoder(a), KEPT_PIECES)
 
     def plain(text: str) -> bytes:
-        return b"".join(map(a.pieces.__getitem__, a.split(" " + text)))
+        return b"".join(map(pieces_a.__getitem__, a.split(" " + text)))
 
     first, second = Side(plain, a.bytes_of), Side(b.encode, b.bytes_of)
     first.outer = np.array([n + "|" for n in first.numbers], dtype=object)
@@ -70,6 +74,16 @@ def sides(spec_a: bytes, spec_b: bytes) -> tuple[Side, Side]:
     return first, second
 
 
+def _piece_encoder(coder: Tokenizer) -> Callable[[str], bytes]:
+    """Ids of one pre-token as unsigned 32-bit integers. Where ids follow the order of the merges, the byte-pair library does
+    that from the same vocabulary, at a tenth of the time for a word not met before."""
+    tokens = {raw: i for i, raw in enumerate(coder.bytes_of) if raw and raw.decode(errors="replace") not in coder.special}
+    if list(coder.ids[256:]) != sorted(coder.ids[256:]) or len(tokens) != len(set(coder.ids)):
+        return lambda piece: coder.encode_piece(piece.encode())
+    library = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=tokens, special_tokens={})
+    return lambda piece: array("I", library._core_bpe.encode_single_piece(piece.encode())).tobytes()
+
+
 def pack(numbers: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Whole numbers from 0 on in seven bits a byte, the last byte of each below 128; and how many bytes each takes."""
     numbers = numbers.astype("int64")
@@ -123,8 +137,10 @@ def align_slice(texts: list[str], a: Side, b: Side) -> dict:
     ids_a, ids_b = _tokens(texts, a), _tokens(texts, b)
     none = np.zeros(0, dtype="<u4")
     for i, text in enumerate(texts):
-        whole = (" " + text).encode()
-        if not text or any(b"".join(s.bytes_of[ids[i]].tolist()) != whole for s, ids in ((a, ids_a), (b, ids_b))):
+        # both encoders cover a text character by character and rewrite one of them only, U+2581 as a space, which takes
+        # fewer bytes: so bytes are equal where their number is
+        size = len(text.encode()) + 1
+        if not text or a.sizes[ids_a[i]].sum() != size or b.sizes[ids_b[i]].sum() != size:
             ids_a[i] = ids_b[i] = none
     n_a, n_b = (np.array([len(ids) for ids in side], dtype="int64") for side in (ids_a, ids_b))
     all_a, all_b = (np.concatenate([none, *side]).astype("int64") for side in (ids_a, ids_b))
@@ -172,8 +188,8 @@ def align_slice(texts: list[str], a: Side, b: Side) -> dict:
         "n_links": n_links,
         "groups_sha256": digests,
         LINKS: [packed[s:e] for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)],
-        LIST: [{"a": x, "b": y, "docs": d} for x, y, d in zip((pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist(), holders.tolist(), strict=True)],
-    }
+        LIST: (pairs >> 32, pairs & 0xFFFFFFFF, holders),
+    }
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", keep_text: bool = False) -> DataFrame:
@@ -184,7 +200,6 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", keep_te
     added = {c: T.LongType() for c in COUNTS} | {"groups_sha256": T.StringType()}
     added |= {SLICE: T.LongType(), LINKS: T.BinaryType(), LIST: listed}
     schema = schema_with(docs, added, () if keep_text else (text,))
-    arrow_list = pa.list_(pa.struct([pa.field(f, pa.int32()) for f in ("a", "b", "docs")]))
 
     def run(batches):
         a, b = sides(spec_a, spec_b)
@@ -196,7 +211,9 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", keep_te
                 columns["groups_sha256"] = pa.array(found["groups_sha256"], pa.string())
                 columns[SLICE] = pa.array(np.full(piece.num_rows, number), pa.int64())
                 columns[LINKS] = pa.array(found[LINKS], pa.binary())
-                columns[LIST] = pa.array([found[LIST], *[None] * (piece.num_rows - 1)], arrow_list)
+                pairs = pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in found[LIST]], names=["a", "b", "docs"])
+                ends = pa.array([0, *[len(pairs)] * piece.num_rows], pa.int32())
+                columns[LIST] = pa.ListArray.from_arrays(ends, pairs)
                 yield with_columns(piece, columns, () if keep_text else (text,))
                 number += 1
 
@@ -205,7 +222,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", keep_te
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
     """``a, b, count, best``: documents of the corpus that hold the ids linked, and whether no pair of ``a`` has more."""
-    lists = aligned.where(F.col(LIST).isNotNull()).select(F.inline(LIST))
+    lists = aligned.where(F.size(LIST) > 0).select(F.inline(LIST))
     counts = lists.groupBy("a", "b").agg(F.sum("docs").alias("count"))
     # an id's pairs are at most the other vocabulary's ids
     return counts.withColumn("best", F.col("count") == F.max("count").over(W.partitionBy("a")))
@@ -214,7 +231,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
 def link_documents(aligned: DataFrame, counts: DataFrame) -> DataFrame:
     """The second pass: ``n_best`` and ``count_sum`` of every row from the counts of its links."""
     # renamed, as both sides of what follows come from one table
-    lists = aligned.where(F.col(LIST).isNotNull()).select(F.col(SLICE).alias("slice"), F.posexplode(LIST).alias("place", "pair"))
+    lists = aligned.where(F.size(LIST) > 0).select(F.col(SLICE).alias("slice"), F.posexplode(LIST).alias("place", "pair"))
     lists = lists.select("slice", "place", "pair.a", "pair.b").join(counts, ["a", "b"])
     lists = lists.select("slice", "place", "count", "best")
     rows = aligned.drop(LIST)

@@ -1,5 +1,6 @@
 """Alignment of two tokenizers against a plain loop over all pairs of tokens."""
 
+import copy
 import hashlib
 from collections import Counter, defaultdict
 
@@ -90,3 +91,13 @@ def test_packed_numbers_come_back():
     packed, sizes = alignment.pack(numbers)
     assert len(packed) == sizes.sum() and (alignment.unpack(packed) == numbers).all()
     assert alignment.pack(numbers[:0])[0] == b"" and len(alignment.unpack(b"")) == 0
+
+
+def test_words_are_encoded_alike_with_and_without_the_library():
+    coder = alignment.tokenizer(alignment.read_spec(PATH_A))
+    other = copy.copy(coder)
+    other.ids = coder.ids[::-1]  # not in the order of the merges, so the library cannot be asked
+    fast, plain = alignment._piece_encoder(coder), alignment._piece_encoder(other)
+    for word in (" historic", "é漢\U0001f600", " " * 70, "a" * 3_000, "'s", "\n\n", "<|endoftext|>"):
+        assert fast(word) == coder.encode_piece(word.encode())
+        assert plain(word) == other.encode_piece(word.encode()) != fast(word)

@@ -20,7 +20,8 @@ INDEXED_FIELDS = ("name", "full_name", "description", "contry", "type", "status"
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """The tables of an index; ``buckets`` is set when they are stored in bucket folders."""
+    """The tables of an index; ``buckets`` is set when they are stored in bucket folders, ``tokenized`` (``doc_id, tokens``)
+    when they are still to be built."""
 
     postings: DataFrame
     docs: DataFrame
@@ -29,6 +30,7 @@ class SearchIndex:
     corpus_stats: DataFrame
     fields: tuple[str, ...]
     buckets: int | None = None
+    tokenized: DataFrame | None = None
 
     def total_docs(self) -> int:
         return self.corpus_stats.select("total_docs").first()[0]
@@ -70,9 +72,11 @@ def explode_tokens(docs: DataFrame, fields: Sequence[str], doc_id: str = "doc_id
 def count_terms(tokenized: DataFrame) -> DataFrame:
     """``doc_id, tokens`` -> ``term, doc_id, tf, doc_len`` without a shuffle.
 
-    The tokens are sorted inside the row and the starts of equal runs give the counts.
+    The tokens are sorted inside the row and the starts of equal runs give the counts. A ``doc_len`` that comes with the
+    tokens is kept; without it the tokens are the whole document.
     """
-    runs = tokenized.select("doc_id", F.sort_array("tokens").alias("_sorted")).withColumn(
+    length = F.col("doc_len") if "doc_len" in tokenized.columns else F.size("tokens").cast("bigint")
+    runs = tokenized.select("doc_id", length.alias("doc_len"), F.sort_array("tokens").alias("_sorted")).withColumn(
         "_starts",
         F.when(
             F.size("_sorted") > 0,
@@ -89,11 +93,37 @@ def count_terms(tokenized: DataFrame) -> DataFrame:
             (F.coalesce(F.get("_starts", k + 1), F.size("_sorted")) - start).cast("bigint").alias("tf"),
         ),
     )
-    return runs.select("doc_id", F.size("_sorted").cast("bigint").alias("doc_len"), F.explode(run).alias("_run")).select(
+    return runs.select("doc_id", "doc_len", F.explode(run).alias("_run")).select(
         "_run.term", "doc_id", "_run.tf", "doc_len"
     )
 
 
+def shard_of(term: Column, buckets: int, shards: int) -> Column:
+    """Shard of a term: the buckets are dealt over the shards, so a bucket lies in one."""
+    return F.pmod(bucket_of(term, buckets), F.lit(shards))
+
+
+def shard_tokens(tokenized: DataFrame, buckets: int, shards: int) -> DataFrame:
+    """``doc_id, tokens`` -> ``doc_id, doc_len, shard, words``: a document's tokens of a shard as one string, so that what is
+    shuffled is a few rows per document and not one per posting. Tokens hold no space. At most 26 shards."""
+    # a letter for the shard before each token: sorted, the tokens of a shard lie together
+    marked = F.transform("tokens", lambda t: F.concat(F.char(F.lit(65) + shard_of(t, buckets, shards)), t))
+    letter = lambda i: F.left(F.get("_marked", i), F.lit(1))
+    begins = F.when(
+        F.size("_marked") > 0,
+        F.filter(F.sequence(F.lit(0), F.size("_marked") - 1), lambda i: (i == 0) | (letter(i) != letter(i - 1))),
+    ).otherwise(F.array().cast("array<int>"))
+
+    def part(start: Column, k: Column) -> Column:
+        own = F.slice("_marked", start + 1, F.coalesce(F.get("_begins", k + 1), F.size("_marked")) - start)
+        words = F.array_join(F.transform(own, lambda t: F.substring(t, 2, 1 << 30)), " ")
+        return F.struct((F.ascii(letter(start)) - 65).alias("shard"), words.alias("words"))
+
+    rows = tokenized.select("doc_id", F.size("tokens").cast("bigint").alias("doc_len"), F.sort_array(marked).alias("_marked"))
+    parts = rows.withColumn("_begins", begins).select("doc_id", "doc_len", F.explode(F.transform("_begins", part)).alias("_part"))
+    return parts.select("doc_id", "doc_len", "_part.shard", "_part.words")
+
+
 def term_totals(postings: DataFrame) -> DataFrame:
     """Documents and occurrences per term; summed inside each task before the shuffle."""
     return postings.groupBy("term").agg(
@@ -126,4 +156,5 @@ def build_index(
         doc_lengths=tokenized.select("doc_id", F.size("tokens").cast("bigint").alias("doc_len")),
         corpus_stats=corpus_statistics(documents, term_df, present),
         fields=present,
+        tokenized=tokenized,
     )

@@ -6,7 +6,8 @@ running build is never read, and a rebuild leaves readers of the former one alon
 
 Postings and document frequencies lie in folders by term bucket, metadata by document bucket, so a search reads
 the folders of its terms only. Rows are shuffled by bucket and a salt: a hot term is written by many tasks as
-many files. Inside a file rows are sorted, so parquet statistics skip the other terms of the bucket.
+many files. Inside a file rows are sorted, so parquet statistics skip the other terms of the bucket. What is shuffled for postings
+that are not built yet is the tokens of a document, as a string per shard of the buckets; they are counted behind the shuffle.
 """
 
 import json
@@ -17,11 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.index import SearchIndex, bucket_of, corpus_statistics, term_totals
+from ..operators.index import SearchIndex, bucket_of, corpus_statistics, count_terms, shard_tokens, term_totals
 from ..plans.joins import SALTS
 from ..plans.storage import read_if_there
 
 BUCKETS = 256
+# Shards of the buckets, and tokens that one task should count and sort.
+SHARDS = 16
+TASK_TOKENS = 2_000_000
 BUILD_SCHEMA = "build string, fields array<string>, buckets int, docs_schema string"
 MANIFEST_SCHEMA = f"{BUILD_SCHEMA}, built_at timestamp"
 # Column types of the tables; those of the metadata depend on the documents and lie in the manifest.
@@ -46,17 +50,34 @@ def _write_bucketed(df: DataFrame, key: str, spread_by: str, order: list[str], b
     )
 
 
+def _write_postings(index: SearchIndex, tokens: int, buckets: int, path: str) -> None:
+    """Write postings from the documents' ``tokens`` tokens. The number of tasks follows from it, so that their sorts fit
+    into memory however many tokens there are."""
+    shards = min(buckets, SHARDS)
+    tasks = max(int(index.tokenized.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-tokens // TASK_TOKENS))
+    salts = max(SALTS, -(-2 * tasks // shards))
+    sharded = shard_tokens(index.tokenized, buckets, shards)
+    dealt = sharded.repartition(tasks, "shard", F.pmod(F.hash("doc_id"), F.lit(salts)))
+    postings = count_terms(dealt.select("doc_id", "doc_len", F.split("words", " ").alias("tokens")))
+    placed = postings.withColumn("_bucket", bucket_of("term", buckets)).sortWithinPartitions("_bucket", "term", "doc_id")
+    placed.write.partitionBy("_bucket").parquet(path)
+
+
 def save_index(index: SearchIndex, path: str, buckets: int = BUCKETS) -> SearchIndex:
     """Write all tables of ``index`` as a new build below ``path`` and return the stored index."""
     spark = index.postings.sparkSession
     build = uuid.uuid4().hex
     root = f"{path}/builds/{build}"
     docs_schema = index.docs.withColumn("_bucket", F.lit(0)).schema.json()
-    _write_bucketed(index.postings, "term", "doc_id", ["term", "doc_id"], buckets, f"{root}/postings")
+    index.doc_lengths.write.parquet(f"{root}/doc_lengths")
+    if index.tokenized is None:
+        _write_bucketed(index.postings, "term", "doc_id", ["term", "doc_id"], buckets, f"{root}/postings")
+    else:
+        tokens = _table(spark, root, "doc_lengths").agg(F.sum("doc_len")).first()[0] or 0
+        _write_postings(index, tokens, buckets, f"{root}/postings")
     totals = term_totals(_table(spark, root, "postings"))
     _write_bucketed(totals, "term", "term", ["term"], buckets, f"{root}/term_df")
     _write_bucketed(index.docs, "doc_id", "doc_id", ["doc_id"], buckets, f"{root}/docs")
-    index.doc_lengths.write.parquet(f"{root}/doc_lengths")
     docs = _table(spark, root, "docs", docs_schema)
     stats = corpus_statistics(docs, _table(spark, root, "term_df"), index.fields)
     stats.write.parquet(f"{root}/corpus_stats")

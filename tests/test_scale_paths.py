@@ -11,6 +11,7 @@ from test_search import indexed, random_texts
 from pagequarry.operators import robots
 from pagequarry.operators import search as search_module
 from pagequarry.operators.frontier import crawl
+from pagequarry.operators.index import build_index, shard_tokens
 from pagequarry.operators.robots import drop_disallowed
 from pagequarry.operators.search import Searcher
 from pagequarry.plans import joins, ordering
@@ -207,3 +208,17 @@ def test_a_crawl_without_seeds_starts_at_the_base_url(spark):
     assert answers(crawl(pages, nothing, rules, 6, "h", base_url="http://h/p1")) == simulated(site, ["http://h/p1"], ["/x"], "h", 6)
     assert answers(crawl(pages, nothing, rules, 6, "h")) == ([], [])
     assert NO_VISITS
+
+
+def test_tokens_are_shuffled_as_strings(spark, tmp_path):
+    texts = [(1, "one two two three"), (2, None), (3, "A b c"), (1, "zwei two drei_4 two"), (None, "two eins")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    index = build_index(docs, fields=["text"], metadata=[])
+    sharded = shard_tokens(index.tokenized, 8, 3).collect()
+    assert all(r.shard in range(3) for r in sharded)
+    # at most a row per document and shard, each token in one of them
+    assert len(sharded) <= 3 * 4
+    assert sum(len(r.words.split(" ")) for r in sharded) == 10
+    stored = save_index(index, str(tmp_path), 8)
+    columns = ["term", "doc_id", "tf", "doc_len"]
+    assert sorted(map(str, stored.postings.select(columns).collect())) == sorted(map(str, index.postings.select(columns).collect()))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..functions.weights import METHODS, doc_share, idf_classic, idf_smooth, term_frequency
-from ..plans.joins import BROADCAST_BYTES, SALTS, fits_broadcast, hot_split_join, salted_join
+from ..plans.joins import BROADCAST_BYTES, SALTS, fits_broadcast, frequent_first_join, hot_split_join, salted_join
 from ..plans.ordering import rank_rows
 from ..plans.storage import written
 from .index import SearchIndex, bucket_of
@@ -343,7 +343,8 @@ class Searcher:
         document lacks the term or is unknown)."""
         postings = self.index.postings.select("term", "doc_id", "tf", "doc_len")
         if pairs is not None:
-            postings = pairs.select("term", "doc_id").join(postings, ["term", "doc_id"], "left")
+            # read twice below
+            postings = written(pairs.select("term", "doc_id").join(postings, ["term", "doc_id"], "left"), "pairs")
         return self._with_frequency(postings).select(
             "term",
             "doc_id",
@@ -358,9 +359,12 @@ class Searcher:
         return self.weights(pairs).select("term", "doc_id", F.col(chosen).alias("tfidf"))
 
     def _with_frequency(self, postings: DataFrame) -> DataFrame:
-        """Add ``df``. Hot terms, known with their rows from the frequencies themselves, are split by document."""
+        """Add ``df``. The frequent terms, which are most of the postings, are sent to them; only postings of the others move,
+        and hot terms among these, known with their rows from the frequencies themselves, are split by document."""
         known = self.index.term_df.select("term", "df")
-        return hot_split_join(postings, known, "term", "left", "doc_id", known.withColumnRenamed("df", "rows"))
+        if not self.index.buckets:
+            known = written(known, "frequencies")
+        return frequent_first_join(postings, known, "term", "df", "doc_id")
 
 
 def _shuffle_partitions(spark) -> int:

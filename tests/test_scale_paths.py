@@ -210,6 +210,18 @@ def test_a_crawl_without_seeds_starts_at_the_base_url(spark):
     assert NO_VISITS
 
 
+def test_frequent_keys_are_sent_and_others_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 200)
+    left = spark.createDataFrame([(k, i) for i, k in enumerate(["hot"] * 50 + ["warm"] * 5 + ["a", "b", "c", "d", "gone", None])], "term string, doc_id int")
+    right = spark.createDataFrame([("hot", 50), ("warm", 5), ("a", 1), ("b", 1), ("c", 1), ("d", 1)], "term string, df bigint")
+    assert joins.least_frequent(right, "df") == 5
+    found = joins.frequent_first_join(left, right, "term", "df", "doc_id")
+    plain = left.join(right, "term", "left").select(found.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+    assert joins.least_frequent(right, "df", 10) is None and joins.least_frequent(right, "df", 10_000) == 0
+    assert sorted(map(str, joins.frequent_first_join(left, right, "term", "df", "doc_id").collect())) == sorted(map(str, plain.collect()))
+
+
 def test_tokens_are_shuffled_as_strings(spark, tmp_path):
     texts = [(1, "one two two three"), (2, None), (3, "A b c"), (1, "zwei two drei_4 two"), (None, "two eins")]
     docs = spark.createDataFrame(texts, "doc_id bigint, text string")

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens as text_tokens
-from ..operators.index import build_index, explode_tokens, number_documents
+from ..operators.index import build_index, explode_tokens, number_documents, present_fields
+from ..plans.joins import together
 from ..plans.storage import fresh_path
 from ..sources.index_store import load_index, load_or_build, save_index
 from .inputs import INDEX_BUCKETS, document_index, searcher, table
@@ -29,7 +30,11 @@ def tokens(spark, sf_dir):
 
 def tokens_fields(spark, sf_dir):
     """Tokens over several fields, counted per document with the last position and distinct terms."""
-    rows = explode_tokens(table(spark, sf_dir, "documents"), ["source", "text", "nosuch", "lang"])
+    fields = ["source", "text", "nosuch", "lang"]
+    docs = table(spark, sf_dir, "documents")
+    # the texts are shuffled once; their tokens, many times as long, are grouped where they are
+    docs = together(docs.select("doc_id", *present_fields(docs, fields)), "doc_id")
+    rows = explode_tokens(docs, fields)
     return rows.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_tokens"),
         F.max("pos").cast("bigint").alias("last_pos"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_crawl import NO_VISITS, RULES_SCHEMA, SEEDS, simulated, site_of, tables
 from test_search import indexed, random_texts
 
+from pagequarry.checks import index_checks
 from pagequarry.operators import robots
 from pagequarry.operators import search as search_module
 from pagequarry.operators.frontier import crawl
@@ -234,3 +235,12 @@ def test_tokens_are_shuffled_as_strings(spark, tmp_path):
     stored = save_index(index, str(tmp_path), 8)
     columns = ["term", "doc_id", "tf", "doc_len"]
     assert sorted(map(str, stored.postings.select(columns).collect())) == sorted(map(str, index.postings.select(columns).collect()))
+
+
+def test_token_statistics_move_texts_only(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "s", "one two two", "en"), (2, "s", None, "en"), (None, "src", "x", "deu")], "doc_id bigint, source string, text string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = index_checks.tokens_fields(spark, str(tmp_path))
+    plan = plan_of(found)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(doc_id" in plan
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, 3, 2, 2, "one", "two"), (None, 2, 1, 2, "src", "deu")]

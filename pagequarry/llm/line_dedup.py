@@ -91,8 +91,13 @@ def recurring_templates(docs: DataFrame, lines: DataFrame, text: str, min_texts:
     leaves = leaves.where((F.col("texts") >= min_texts) & (F.col("kinds") > 1)).select("leaf")
     wanted = written(counted.join(leaves, "leaf").select("template", F.col("leaf").alias("_leaf"), "texts"), "wanted")
     side = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
+    # a line of each template is enough, so only the texts that hold the chosen ones are read again
+    held = lines.select("key", "template").join(side.select("template"), "template", "left_semi")
+    chosen = written(held.groupBy("template").agg(F.min("key").alias("key")).select("key").distinct(), "chosen-texts")
+    chosen = F.broadcast(chosen) if fits_broadcast(chosen) else chosen
+    texts = docs.select(text).join(chosen, text_key(text) == F.col("key"), "left_semi")
     # only the lines of these leaves are shuffled, one for each template; a short line is the only one of its leaf
-    shown = masked_lines(docs, text).select(template_of(), "line").join(side, "template").distinct()
+    shown = masked_lines(texts, text).select(template_of(), "line").join(side, "template").distinct()
     words = shown.select("template", "_leaf", "texts", F.posexplode(F.split("line", " ")).alias("place", "word"))
     words = written(words, "line-words")
     votes = words.groupBy("_leaf", "place", "word").agg(F.sum("texts").alias("n"))

@@ -377,3 +377,20 @@ def test_colliding_surrogates_are_resolved(spark):
     attempts = {(r["kind"], r["canonical"]): r["attempt"] for r in surrogates.resolve_collisions(entities, b"k").collect()}
     new = [surrogates.surrogate(k, c, b"k", attempts.get((k, c), 0)) for k, c in names]
     assert len(set(new)) == len(names) and not set(new) & {c for _, c in names}
+
+
+def test_only_chosen_texts_are_masked_again(spark, monkeypatch):
+    """A line of each template is enough, so not all texts of a recurring leaf are read twice."""
+    read = []
+    masked_lines = line_dedup.masked_lines
+
+    def counted(docs, *rest):
+        read.append(docs.count())
+        return masked_lines(docs, *rest)
+
+    monkeypatch.setattr(line_dedup, "masked_lines", counted)
+    colours = ["red", "blue"]
+    docs = spark.createDataFrame([(i, f"{'x' * (i + 1)} own text alone\nposted in our group {colours[i % 2]} today again") for i in range(30)], "doc_id int, text string")
+    kept = line_dedup.drop_recurring_lines(docs).collect()
+    assert all(r.n_dropped == 1 and r.text.endswith("x own text alone") for r in kept)
+    assert read[0] == 30 and 0 < read[1] < 30

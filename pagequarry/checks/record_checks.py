@@ -14,10 +14,12 @@ from ..sources.pages import (
     latest_pages,
     load_queue,
     page_inventory,
+    page_number,
     path_collisions,
     read_log,
     read_page_files,
     save_queue,
+    write_page_files,
 )
 from ..sources.records import read_records, write_records
 from ..streaming.intake import first_seen, read_intake, read_page_stream, start_first_copies, start_intake
@@ -186,11 +188,9 @@ def queue_versions(spark, sf_dir):
 def page_files(spark, sf_dir):
     """Every page as a text file of its own, found and read again by file path."""
     path = fresh_path(spark, "page-files")
-    pages = table(spark, sf_dir, "pages")
-    pages.select("page_id", "html").write.partitionBy("page_id").text(path)
+    write_page_files(table(spark, sf_dir, "pages"), path)
     back = read_page_files(spark, path)
-    number = F.regexp_extract("filepath_saved", "^page_id=([0-9]+)/[^/]*$", 1).cast("bigint")
-    return back.select(number.alias("page_id"), F.md5("html").alias("digest"))
+    return back.select(page_number("filepath_saved").alias("page_id"), F.md5("html").alias("digest"))
 
 
 QUERIES = {

@@ -1,7 +1,12 @@
 """Page corpus, download log, queue and robots files."""
 
+import os
+import re
 import uuid
+from itertools import groupby
+from operator import itemgetter
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +22,60 @@ LOG_SCHEMA = "url string, downloaded_at string, filesize_bytes bigint, filepath_
 QUEUE_SCHEMA = "url string, seq bigint"
 VERSIONS_SCHEMA = "version string, saved_at timestamp"
 BITMAP_BITS = 1 << 27
+PAGE_FOLDERS = 256
+NO_PAGE_ID = "__HIVE_DEFAULT_PARTITION__"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
+def write_page_files(pages: DataFrame, folder: str) -> None:
+    """Write ``html`` as a line of text to a file of its own for every ``page_id``, a number, below ``folder``, which must be
+    new; ``page_number`` tells the page of a file. Rows of one page share a file when they lie in one task.
+
+    In a folder that all machines have mounted the tasks open the files themselves: Hadoop starts a process to set the mode
+    of each file and folder it makes there, which takes far longer than the page. Files lie in a fixed number of folders, so
+    that listing them does not take a step per page. Any other store gets Spark's text files, in a folder per page.
+    """
+    root = mounted_path(pages.sparkSession, folder)
+    rows = pages.select("page_id", "html")
+    if root is None:
+        rows.write.partitionBy("page_id").text(folder)
+        return
+    os.makedirs(root)
+    name = F.concat(F.lit("page_id="), F.coalesce(F.col("page_id").cast("string"), F.lit(NO_PAGE_ID)))
+    spot = F.lpad(F.lower(F.hex(F.pmod(F.xxhash64("page_id"), F.lit(PAGE_FOLDERS)))), 2, "0")
+    line = F.concat(F.coalesce("html", F.lit("")), F.lit("\n")).cast("binary")
+    placed = rows.sortWithinPartitions("page_id").select(F.concat(spot, F.lit("/"), name), line)
+
+    def save(lines):
+        task = TaskContext.get().partitionId()
+        for name, same in groupby(lines, key=itemgetter(0)):
+            path = f"{root}/{name}-part-{task:05d}.txt"
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            # another attempt of the task may be writing too; readers pass over names that begin with a dot
+            own = f"{os.path.dirname(path)}/.{uuid.uuid4().hex}"
+            with open(own, "wb") as file:
+                file.writelines(line for _, line in same)
+            os.replace(own, path)
+
+    placed.foreachPartition(save)
+
+
+def page_number(filepath_saved: Column | str) -> Column:
+    """The ``page_id`` of a file of ``write_page_files``; null for other files and for pages without one."""
+    return F.regexp_extract(filepath_saved, "(?:^|/)page_id=(-?[0-9]+)(?:-part-[^/]*|/[^/]*)$", 1).try_cast("bigint")
+
+
+def mounted_path(spark: SparkSession, folder: str) -> str | None:
+    """The path of a folder in the machines' own file tree; None for one in another store."""
+    if folder.startswith("/"):
+        # without a scheme the folder lies in the cluster's default store
+        store = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        return folder.rstrip("/") if store.startswith("file:") else None
+    local = re.fullmatch("file:(?://)?(/[^/].*?)/*", folder)
+    return local and local[1]
+
+
 def page_files(spark: SparkSession, folder: str) -> DataFrame:
     """``filepath_saved, html, readable`` of every file below ``folder``; a file that is not UTF-8 has no ``html``, one that
     vanishes no row."""

@@ -1,7 +1,10 @@
+import hashlib
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from pagequarry.checks import record_checks
 from pagequarry.operators.extract import extract_records
 from pagequarry.plans import storage
 from pagequarry.sources import pages as src
@@ -51,6 +54,53 @@ def test_page_files(spark, tmp_path, rows):
     assert rows(src.read_page_files(spark, str(root))) == [("a/index.html", "A\r\n"), ("b+c/d%e é.html", "ü")]
 
 
+def test_page_files_lie_in_few_folders(spark, tmp_path, monkeypatch):
+    count = 2 * 256
+    pages = spark.createDataFrame([(i * 1_000_003, f"page {i}\r\né") for i in range(count)], "page_id bigint, html string")
+    pages.repartition(5).write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(record_checks, "fresh_path", lambda *_: f"file://{tmp_path}/files")
+    found = {r.page_id: r.digest for r in record_checks.page_files(spark, str(tmp_path)).collect()}
+    assert found == {i * 1_000_003: hashlib.md5(f"page {i}\r\né\n".encode()).hexdigest() for i in range(count)}
+    files = [f for f in (tmp_path / "files").rglob("*") if f.is_file() and not f.name.startswith((".", "_"))]
+    assert len(files) == count
+    assert len({f.parent for f in files}) <= 256
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_page_files_of_odd_rows(spark, tmp_path, rows, monkeypatch, mounted):
+    if not mounted:
+        monkeypatch.setattr(src, "mounted_path", lambda *_: None)
+    data = [(-1, "minus"), (None, "no number"), (3, None), (4, "twice"), (4, "twice"), (5, "")]
+    path = str(tmp_path / "files")
+    src.write_page_files(spark.createDataFrame(data, "page_id bigint, html string").coalesce(1), path)
+    back = src.read_page_files(spark, path).select(src.page_number("filepath_saved"), "html")
+    expected = [(-1, "minus\n"), (None, "no number\n"), (3, "\n"), (4, "twice\ntwice\n"), (5, "\n")]
+    assert rows(back) == sorted(expected, key=repr)
+
+
+def test_page_files_keep_bytes_and_need_a_new_folder(spark, tmp_path):
+    pages = spark.sql("SELECT 1L AS page_id, CAST(X'61FF' AS string) AS html")
+    src.write_page_files(pages, str(tmp_path / "files"))
+    assert [f.read_bytes() for f in (tmp_path / "files").rglob("page_id=*")] == [b"a\xff\n"]
+    assert src.unreadable_files(spark, str(tmp_path / "files")).count() == 1
+    with pytest.raises(FileExistsError):
+        src.write_page_files(pages, str(tmp_path / "files"))
+    src.write_page_files(pages.where("page_id > 1"), str(tmp_path / "none"))
+    assert src.read_page_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_mounted_folders(spark):
+    folders = ["/a/b/", "file:///a b/", "file:/a", "file://host/a", "hdfs://h/a", "viewfs:///a", "s3a://b/a", "a/b"]
+    assert [src.mounted_path(spark, f) for f in folders] == ["/a/b", "/a b", "/a", None, None, None, None, None]
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    before = settings.get("fs.defaultFS")
+    settings.set("fs.defaultFS", "hdfs://h")
+    try:
+        assert [src.mounted_path(spark, f) for f in folders[:2]] == [None, "/a b"]
+    finally:
+        settings.set("fs.defaultFS", before)
+
+
 def test_queue_round_trip(spark, tmp_path):
     urls = [f"http://h/{(i * 7919) % 1000}" for i in range(1000)]
     queue = spark.createDataFrame([(u, i) for i, u in enumerate(urls)], "url string, seq bigint").repartition(5)

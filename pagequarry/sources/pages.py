@@ -23,6 +23,7 @@ QUEUE_SCHEMA = "url string, seq bigint"
 VERSIONS_SCHEMA = "version string, saved_at timestamp"
 BITMAP_BITS = 1 << 27
 PAGE_FOLDERS = 256
+SPLITS_A_TASK = 16
 NO_PAGE_ID = "__HIVE_DEFAULT_PARTITION__"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -85,7 +86,10 @@ def page_files(spark: SparkSession, folder: str) -> DataFrame:
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     relative = F.substring(path, F.locate(root, path) + len(root), F.length(path))
     readable = F.is_valid_utf8("value")
-    return files.select(relative.alias("filepath_saved"), F.when(readable, F.col("value")).alias("html"), readable.alias("readable"))
+    found = files.select(relative.alias("filepath_saved"), F.when(readable, F.col("value")).alias("html"), readable.alias("readable"))
+    # a split holds few small files, as each counts with the cost of opening it; a task takes several splits one after the other
+    splits, cores = files.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
+    return found.coalesce(max(splits // SPLITS_A_TASK, min(splits, 4 * cores), 1))
 
 
 def read_page_files(spark: SparkSession, folder: str) -> DataFrame:

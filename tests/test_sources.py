@@ -89,6 +89,21 @@ def test_page_files_keep_bytes_and_need_a_new_folder(spark, tmp_path):
     assert src.read_page_files(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_page_files_are_read_in_few_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(src, "SPLITS_A_TASK", 4)
+    count = 400
+    src.write_page_files(spark.range(count).select(F.col("id").alias("page_id"), F.lit("a").alias("html")), str(tmp_path / "files"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        back = src.read_page_files(spark, str(tmp_path / "files"))
+        assert back.rdd.getNumPartitions() <= count // 4
+        numbers = back.select(src.page_number("filepath_saved").alias("n"))
+        assert sorted(r.n for r in numbers.collect()) == list(range(count))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_mounted_folders(spark):
     folders = ["/a/b/", "file:///a b/", "file:/a", "file://host/a", "hdfs://h/a", "viewfs:///a", "s3a://b/a", "a/b"]
     assert [src.mounted_path(spark, f) for f in folders] == ["/a/b", "/a b", "/a", None, None, None, None, None]
